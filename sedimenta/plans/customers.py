@@ -28,7 +28,7 @@ def customer_metrics(orders: DataFrame) -> DataFrame:
         F.max("order_date").alias("latest_order_date"),
     ).select(
         "customer_id", "total_revenue", "order_count",
-        F.round(ratio(F.col("total_revenue"), F.col("order_count")), 4).alias("avg_order_value"),
+        ratio(F.col("total_revenue"), F.col("order_count")).alias("avg_order_value"),
         "first_order_date", "latest_order_date",
         F.col("total_revenue").alias("lifetime_value"),
         (F.col("order_count") > 1).alias("retention_flag"),
@@ -39,7 +39,7 @@ def lifetime_value(metrics: DataFrame) -> DataFrame:
     """Active days and revenue per active day from ``customer_metrics``."""
     days = F.datediff("latest_order_date", "first_order_date")
     return metrics.withColumn("customer_lifespan_days", days).withColumn(
-        "ltv_score", F.round(ratio(F.col("total_revenue"), F.col("customer_lifespan_days") + 1), 4)
+        "ltv_score", ratio(F.col("total_revenue"), F.col("customer_lifespan_days") + 1)
     )
 
 
@@ -83,7 +83,7 @@ def monthly_revenue(orders: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("monthly_orders"),
         F.count_distinct("customer_id").alias("active_customers"),
     ).withColumn(
-        "revenue_per_customer", F.round(ratio(F.col("monthly_revenue"), F.col("active_customers")), 4)
+        "revenue_per_customer", ratio(F.col("monthly_revenue"), F.col("active_customers"))
     )
 
 
@@ -93,7 +93,7 @@ def product_months(sales: DataFrame, product: str, day: str, amount: str) -> Dat
     return valid.groupBy(product, F.date_format(day, "yyyy-MM").alias("month")).agg(
         F.sum(amount).alias("total_sales"), F.count(F.lit(1)).alias("transaction_count")
     ).withColumn(
-        "avg_sale_amount", F.round(ratio(F.col("total_sales"), F.col("transaction_count")), 4)
+        "avg_sale_amount", ratio(F.col("total_sales"), F.col("transaction_count"))
     )
 
 

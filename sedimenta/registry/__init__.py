@@ -4,7 +4,7 @@ from importlib import import_module
 
 from sedimenta.registry.base import ORACLES, QUERIES
 
-MODULES = ["scans", "relational", "quality", "ordered", "changes"]
+MODULES = ["scans", "relational", "quality", "ordered", "changes", "business", "governance", "operations", "insight"]
 
 for _name in MODULES:
     import_module(f"sedimenta.registry.{_name}")

@@ -221,7 +221,7 @@ def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.timestamp_add("MINUTE", (k % 100000).cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     edges = table(spark, sf_dir, "part").select(
         k.alias("_k"), at.alias("created_at"), "p_type",
-        F.explode(F.array(F.floor(k / 2), F.floor(k / 3))).cast("bigint").alias("_src"),
+        F.explode(F.array(F.floor(k / 2).cast("bigint"), F.floor(k / 3).cast("bigint"))).alias("_src"),
     )
     named = lambda c: F.concat(F.lit("lake.t"), c.cast("string"))
     return edges.filter(F.col("_src") > 0).select(
