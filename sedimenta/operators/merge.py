@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.windows import latest_per_key, sequence_windows
+from sedimenta.scale import durable
+from sedimenta.sources import files
 
 ACTION = "_action"
 
@@ -113,6 +115,46 @@ def merge(
     return out.filter(F.col(ACTION) != "delete").drop(ACTION)
 
 
+BUCKET = "_bucket"
+
+
+def key_bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> str:
+    """Write a table that ``merge_into`` can update: one directory per hash
+    bucket of the key."""
+    files.write_partitioned(df.withColumn(BUCKET, key_bucket(keys, buckets)), path, [BUCKET])
+    return path
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(BUCKET)
+
+
+def merge_into(
+    spark: SparkSession, path: str, source: DataFrame, keys: list[str], buckets: int, update_when: Column
+) -> int:
+    """Upsert ``source`` into a bucketed table; only buckets with a changed
+    key are read and rewritten.  Returns their number.
+
+    The merged rows are written to the shared folder before the old ones are
+    replaced.  If the replacement is interrupted, the same call completes it:
+    with a strict ``update_when`` a row that is merged already stays as it is.
+    """
+    changes = source.withColumn(BUCKET, key_bucket(keys, buckets))
+    touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]  # at most ``buckets``
+    if not touched:
+        return 0
+    target = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
+    merged = durable(merge(target, changes, [*keys, BUCKET], update_when), "merged")
+    merged.hint("rebalance", BUCKET).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(BUCKET).parquet(path)
+    return len(touched)
+
+
 def merge_counts(read: DataFrame, deduplicated_actions: DataFrame) -> DataFrame:
     """Run metrics: rows read, left after dedup, inserted, updated, deleted, total.
 

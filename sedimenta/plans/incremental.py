@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,17 +41,16 @@ def read_after(log: DataFrame, ts: str, watermark: str, lookback_hours: int = 0)
 
 @dataclass(frozen=True)
 class RunResult:
-    """What a run did; ``path`` is the state it left."""
+    """What a run did: keys merged, buckets rewritten, watermark reached."""
 
-    path: str
     processed: int
+    buckets: int
     watermark: str
 
 
 def run_incremental(
     spark: SparkSession,
     log: DataFrame,
-    silver_root: str,
     silver_path: str,
     state_path: str,
     job: str,
@@ -60,12 +58,14 @@ def run_incremental(
     ts: str,
     tie: list[str],
     lookback_hours: int = 24,
+    buckets: int = 1024,
 ) -> RunResult:
-    """One run.  Writes a new snapshot, then appends the state row.
+    """One run over a table written by ``write_bucketed`` with ``buckets``.
 
-    A run that fails leaves the state as it was, so the next one reads the
-    same rows again; merging them twice changes nothing, as an update must be
-    strictly newer.  An empty slice writes nothing.
+    Only rows after the watermark are read and only buckets with a changed key
+    are rewritten.  The state row is appended last: after a failure the next
+    run reads the same rows again, and merging them twice changes nothing, as
+    an update must be strictly newer.  An empty slice writes nothing.
     """
     state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
     watermark = watermark_of(state, job)
@@ -76,38 +76,27 @@ def run_incremental(
     newest = durable(latest_per_key(slice_, keys, order), "slice")
     stats = newest.agg(F.count(F.lit(1)).alias("n"), F.max(ts).cast("string").alias("top")).first()
     if stats["n"] == 0:
-        return RunResult(silver_path, 0, watermark)
-    run_no = state.agg(F.max("run_no")).first()[0] + 1
-    path = f"{silver_root}/v={run_no}"
-    silver = spark.read.parquet(silver_path)
-    mg.merge(silver, newest, keys, update_when=mg.newer(ts)).write.parquet(path)
+        return RunResult(0, 0, watermark)
+    touched = mg.merge_into(spark, silver_path, newest, keys, buckets, mg.newer(ts))
     # The lookback may hold only old rows: a watermark never moves back.
     reached = max(watermark, stats["top"])
-    row = [(job, watermark, reached, stats["n"], "SUCCESS", run_no)]
-    plain = "job_name string, start_time string, last_watermark string, records_processed bigint, status string, run_no bigint"
-    spark.createDataFrame(row, plain).select(
-        "job_name", F.col("start_time").cast("timestamp_ntz"), F.col("last_watermark").cast("timestamp_ntz"),
-        "records_processed", "status", "run_no",
-    ).write.mode("append").parquet(state_path)
-    return RunResult(path, stats["n"], reached)
+    run_no = state.filter(F.col("job_name") == job).agg(F.max("run_no")).first()[0] + 1
+    append_state(spark, state_path, job, watermark, reached, stats["n"], run_no)
+    return RunResult(stats["n"], touched, reached)
 
 
-def first_state(spark: SparkSession, path: str, job: str, watermark: str, records: int) -> None:
-    """State row of the first, full load."""
+def append_state(
+    spark: SparkSession, path: str, job: str, start: str, watermark: str, records: int, run_no: int
+) -> None:
+    """One more row in the state table, which keeps the rows of all jobs."""
     spark.sql(
-        "SELECT :job AS job_name, CAST(:wm AS timestamp_ntz) AS start_time, CAST(:wm AS timestamp_ntz) AS last_watermark, "
-        "CAST(:n AS bigint) AS records_processed, 'SUCCESS' AS status, CAST(0 AS bigint) AS run_no",
-        args={"job": job, "wm": watermark, "n": records},
+        "SELECT :job AS job_name, CAST(:start AS timestamp_ntz) AS start_time, "
+        "CAST(:watermark AS timestamp_ntz) AS last_watermark, CAST(:n AS bigint) AS records_processed, "
+        "'SUCCESS' AS status, CAST(:run AS bigint) AS run_no",
+        args={"job": job, "start": start, "watermark": watermark, "n": records, "run": run_no},
     ).write.mode("append").parquet(path)
 
 
-def timed(fn):
-    """Result of ``fn`` and the seconds it took, for the run metrics."""
-    start = time.monotonic()
-    out = fn()
-    return out, time.monotonic() - start
-
-
 def run_alerts(
     metrics: DataFrame, lag_hours: float, duration_sec: float, usual_sec: float
 ) -> DataFrame:

@@ -4,7 +4,9 @@ from importlib import import_module
 
 from sedimenta.registry.base import ORACLES, QUERIES
 
-MODULES = ["scans", "relational", "quality", "ordered", "changes", "business", "governance", "operations", "insight"]
+MODULES = [
+    "scans", "relational", "quality", "ordered", "changes", "business", "governance", "operations", "insight", "flows",
+]
 
 for _name in MODULES:
     import_module(f"sedimenta.registry.{_name}")

@@ -187,7 +187,7 @@ def cdc_changes_since(spark, sf_dir):
 def incremental_read(spark, sf_dir):
     """The watermark comes from the state table."""
     path = work_path(spark, "state")
-    inc.first_state(spark, path, "orders", shapes.CUTOVER, 0)
+    inc.append_state(spark, path, "orders", shapes.CUTOVER, shapes.CUTOVER, 0, 0)
     state = spark.read.schema(inc.STATE_SCHEMA).parquet(path)
     return inc.read_after(log(spark, sf_dir), "updated_at", inc.watermark_of(state, "orders"))
 
@@ -197,23 +197,30 @@ def incremental_lookback(spark, sf_dir):
     return inc.read_after(log(spark, sf_dir), "updated_at", shapes.CUTOVER, 48)
 
 
+BUCKETS = 16
+
+
 def load_first(spark, sf_dir, job):
-    """Full load up to the cutover: snapshot and state."""
-    root, state = work_path(spark, "silver"), work_path(spark, "state")
-    first = f"{root}/v=0"
-    target(spark, sf_dir).write.parquet(first)
-    inc.first_state(spark, state, job, shapes.CUTOVER, 0)
-    return root, first, state
+    """Full load up to the cutover: table and state."""
+    silver, state = work_path(spark, "silver"), work_path(spark, "state")
+    mg.write_bucketed(target(spark, sf_dir), silver, KEY, BUCKETS)
+    inc.append_state(spark, state, job, shapes.CUTOVER, shapes.CUTOVER, 0, 0)
+    return silver, state
+
+
+def one_run(spark, sf_dir, silver, state):
+    return inc.run_incremental(
+        spark, log(spark, sf_dir), silver, state, "orders", KEY, "updated_at", ["seq"], 24, BUCKETS
+    )
 
 
 @query("run_incremental", f"SELECT {COLS} FROM {_newest('TRUE')}")
 def run_incremental(spark, sf_dir):
     """A full load, an incremental run, and a second run that changes nothing."""
-    root, first, state = load_first(spark, sf_dir, "orders")
-    args = ("orders", KEY, "updated_at", ["seq"], 24)
-    one = inc.run_incremental(spark, log(spark, sf_dir), root, first, state, *args)
-    two = inc.run_incremental(spark, log(spark, sf_dir), root, one.path, state, *args)
-    return spark.read.parquet(two.path)
+    silver, state = load_first(spark, sf_dir, "orders")
+    one_run(spark, sf_dir, silver, state)
+    one_run(spark, sf_dir, silver, state)
+    return mg.read_bucketed(spark, silver)
 
 
 @query("run_state", f"""
@@ -221,13 +228,21 @@ SELECT 'orders' AS job_name, 1::BIGINT AS run_no, max(updated_at) AS last_waterm
 FROM {CHANGES} WHERE updated_at > {CUTOVER} - INTERVAL 24 HOUR
 UNION ALL SELECT 'orders', 0, {CUTOVER}, 0, 'SUCCESS'""")
 def run_state(spark, sf_dir):
-    root, first, state = load_first(spark, sf_dir, "orders")
-    inc.run_incremental(spark, log(spark, sf_dir), root, first, state, "orders", KEY, "updated_at", ["seq"], 24)
+    silver, state = load_first(spark, sf_dir, "orders")
+    one_run(spark, sf_dir, silver, state)
     return spark.read.schema(inc.STATE_SCHEMA).parquet(state).select(
         "job_name", "run_no", "last_watermark", "records_processed", "status"
     )
 
 
+@query("merge_into_buckets", _merged("s.updated_at > t.updated_at"))
+def merge_into_buckets(spark, sf_dir):
+    """The same MERGE in place: only buckets with a changed key are rewritten."""
+    silver, _ = load_first(spark, sf_dir, "orders")
+    mg.merge_into(spark, silver, source(spark, sf_dir), KEY, BUCKETS, mg.newer("updated_at"))
+    return mg.read_bucketed(spark, silver)
+
+
 @query("status_summary", f"""
 SELECT COUNT(*) AS total, COUNT(*) FILTER (status = 'purchase') AS purchase_count, COUNT(*) FILTER (status = 'signup') AS signup_count,
   COUNT(*) FILTER (status = 'error') AS error_count, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_value FROM {_newest('TRUE')}""")

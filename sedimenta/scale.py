@@ -5,8 +5,8 @@ through this module.  The decisions are made once, while the plan is built:
 
 * ``plan_bytes`` is the optimizer's own size estimate, the number that decides
   automatic broadcasts;
-* ``hot_keys`` counts rows per key (partial counts before the shuffle) and
-  returns the few keys that are too large for one task, or ``None``;
+* ``hot_keys`` counts keys in a sample of the rows and returns the few that
+  are too large for one task, or ``None``;
 * ``skew_join`` salts only those keys.
 """
 
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 SMALL_BYTES = 256 * 1024 * 1024
 # A key with more rows than this is split over several tasks.
 HOT_ROWS = 5_000_000
+# A key at the limit is expected this often in the sample that finds it.
+SAMPLE_HITS = 1000
 # Only the largest keys are listed: any other key has under 1/1024 of the rows.
 MAX_HOT_KEYS = 1024
 
@@ -58,18 +60,26 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows as a local frame ``keys + _rows``.
 
-    The result has at most ``MAX_HOT_KEYS`` rows, so it can be broadcast.
-    ``None`` means that no key needs splitting.  Without keys the whole table
-    is the one group.
+    The keys of a sample of the rows are counted; a key over the limit is
+    expected ``SAMPLE_HITS`` times in it, so it is not missed, and the counting
+    moves few rows.  The list only steers how work is spread: results do not
+    depend on which keys are on it.  It has at most ``MAX_HOT_KEYS`` rows, so
+    it can be broadcast.  ``None`` means that no key needs splitting.  Without
+    keys the whole table is the one group.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     small_bytes = SMALL_BYTES if small_bytes is None else small_bytes
     if plan_bytes(df) <= small_bytes:
         return None
+    share = min(1.0, SAMPLE_HITS / hot_rows)
+    seen = df.select(*keys)
+    if share < 1.0:
+        seen = seen.sample(share, seed=17)
     counts = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
+        seen.groupBy(*keys)
+        .agg((F.count(F.lit(1)) / F.lit(share)).cast("bigint").alias("_rows"))
+        # Counts of a sample scatter; a little under the limit is over it.
+        .filter(F.col("_rows") > (hot_rows if share == 1.0 else int(hot_rows * 0.8)))
         .orderBy(F.desc("_rows"), *keys)
         .limit(MAX_HOT_KEYS)
     )
