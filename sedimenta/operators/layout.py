@@ -6,7 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sedimenta.operators.ranges import with_range_number
 from sedimenta.scale import row_salt
 
 TARGET_BYTES = 256 * 1024 * 1024
@@ -61,15 +63,6 @@ def range_cuts(df: DataFrame, column: str, ranges: int) -> list:
     return found[step::step][: ranges - 1]
 
 
-def range_number(column: str, cuts: list, df: DataFrame) -> Column:
-    """How many cuts are at or below the value: its range, 0 for NULL."""
-    if not cuts:
-        return F.lit(0)
-    kind = df.schema[column].dataType
-    values = F.array(*[F.lit(c).cast(kind) for c in cuts])
-    return F.coalesce(F.size(F.filter(values, lambda cut: cut <= F.col(column))), F.lit(0))
-
-
 def interleave(numbers: list[Column], bits: int) -> Column:
     """Bits of the numbers in turn, highest first: the Morton code."""
     parts = []
@@ -87,12 +80,17 @@ def zorder(df: DataFrame, columns: list[str], files: int, bits: int = BITS) -> D
     which lets filters on any of them skip files.  Many rows with one code are
     spread over partitions by their salt.
     """
-    numbers = [range_number(c, range_cuts(df, c, 1 << bits), df) for c in columns]
-    coded = df.withColumn("_spread", row_salt(df, 1 << 20)).withColumn("_z", interleave(numbers, bits))
+    coded = df.withColumn("_spread", row_salt(df, 1 << 20))
+    for i, c in enumerate(columns):
+        kind = df.schema[c].dataType
+        cuts = F.array(*[F.lit(v).cast(kind) for v in range_cuts(df, c, 1 << bits)]).cast(T.ArrayType(kind))
+        coded = with_range_number(coded, f"_n{i}", cuts, F.col(c), bits)
+    numbers = [F.col(f"_n{i}") for i in range(len(columns))]
     return (
-        coded.repartitionByRange(files, "_z", "_spread")
+        coded.withColumn("_z", interleave(numbers, bits))
+        .repartitionByRange(files, "_z", "_spread")
         .sortWithinPartitions("_z", *columns)
-        .drop("_z", "_spread")
+        .select(*df.columns)
     )
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.operators.windows import BUCKET_ROWS, sequence_windows
-from sedimenta.scale import hot_keys, skew_join
+from sedimenta.operators.windows import BUCKET_ROWS, join_values, sequence_windows
+from sedimenta.scale import hot_keys
 
 
 def exact_percentiles(
@@ -29,7 +29,8 @@ def exact_percentiles(
         return some.groupBy(*keys).agg(
             *[F.percentile("_v", F.lit(p)).alias(n) for n, p in probabilities.items()]
         )
-    keyed = some if keys else some.withColumn("_all", F.lit(0))
+    # As in sequence_windows: one group under a key the optimizer keeps.
+    keyed = some if keys else some.withColumn("_all", F.pmod(F.xxhash64("_v"), F.lit(1)))
     by = keys or ["_all"]
     counts = keyed.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
     sizes = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
@@ -37,7 +38,7 @@ def exact_percentiles(
         counts, by, ["_v"], running={"_upto": "_c"},
         hot_rows=hot_rows, small_bytes=0, bucket_rows=bucket_rows,
     )
-    placed = skew_join(upto, sizes, by, "inner", hot_rows, small_bytes)
+    placed = join_values(upto, sizes, by, hot_rows)
     aggs = []
     for i, p in enumerate(probabilities.values()):
         at = F.lit(p) * (F.col("_size") - 1)

@@ -16,12 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.operators.ranges import with_range_number
 from sedimenta.scale import hot_keys, null_safe, salted_join
 
 MAX_SPLITS = 4096
 BUCKET_ROWS = 1_000_000
-# Steps of the search for a row's bucket; they cover 8191 cut points per key.
-_SEARCH_STEPS = [1 << n for n in range(12, -1, -1)]
+# The search for a row's bucket covers 8191 cuts per key, twice the number expected.
+_CUT_BITS = 13
 
 
 def order_buckets(
@@ -46,14 +47,8 @@ def order_buckets(
         df.alias("r")
         .join(F.broadcast(cuts).alias("h"), null_safe("r", "h", keys), "left")
         .select("r.*", "h._cuts")
-        .withColumn("_bucket", F.lit(0))
     )
-    for step in _SEARCH_STEPS:
-        at = F.get("_cuts", F.col("_bucket") + F.lit(step - 1))
-        out = out.withColumn(
-            "_bucket", F.col("_bucket") + F.when(at <= place, F.lit(step)).otherwise(F.lit(0))
-        )
-    return out
+    return with_range_number(out, "_bucket", F.col("_cuts"), place, _CUT_BITS)
 
 
 def sequence_windows(
@@ -78,9 +73,10 @@ def sequence_windows(
     hot = hot_keys(df, keys, hot_rows, small_bytes)
     columns = df.columns
     if hot is not None and not keys:
-        # One group: give it a constant key, so that buckets have a key to hang on.
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
-        hot = hot.withColumn("_all", F.lit(0))
+        # One group: give it a key that is always 0 but that the optimizer does
+        # not know to be constant, so that its joins stay hash joins.
+        df, keys = df.withColumn("_all", F.pmod(F.xxhash64(*order), F.lit(1))), ["_all"]
+        hot = hot.withColumn("_all", F.pmod(F.xxhash64("_rows"), F.lit(1)))
     if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -167,7 +163,7 @@ def peer_running_total(
         peers, keys, [order], running={name: "_peers"},
         hot_rows=hot_rows, small_bytes=0, bucket_rows=bucket_rows,
     ).withColumn(name, F.col(name).cast(_sum_type(df, value)))
-    return _back(df, totals.drop("_peers"), [*keys, order], hot_rows)
+    return join_values(df, totals.drop("_peers"), [*keys, order], hot_rows)
 
 
 def global_rank(
@@ -197,17 +193,18 @@ def global_rank(
         peers, [], ["_none", "_down"], running={"_upto": "_peers"},
         hot_rows=hot_rows, small_bytes=0, bucket_rows=bucket_rows,
     ).select(order, (F.col("_upto") - F.col("_peers") + 1).cast("long").alias(name))
-    return _back(df, ranks, [order], hot_rows)
+    return join_values(df, ranks, [order], hot_rows)
 
 
-def _back(df: DataFrame, values: DataFrame, on: list[str], hot_rows: int | None) -> DataFrame:
-    """Give each row the value of its (possibly NULL, possibly hot) key."""
+def join_values(df: DataFrame, values: DataFrame, on: list[str], hot_rows: int | None) -> DataFrame:
+    """Give each row the one row of ``values`` with its key, which may be NULL
+    and may be hot.  Rows without a match are left out."""
     cols = [c for c in values.columns if c not in on]
-    left = df.withColumn("_k", F.xxhash64(*on))
-    right = values.select(F.struct(*on).alias("_v"), *cols, F.xxhash64(*on).alias("_k"))
-    joined = salted_join(left, right, ["_k"], "inner", hot_keys(left, ["_k"], hot_rows, 0))
+    left = df.withColumn("_key_hash", F.xxhash64(*on))
+    right = values.select(F.struct(*on).alias("_key_of"), *cols, F.xxhash64(*on).alias("_key_hash"))
+    joined = salted_join(left, right, ["_key_hash"], "inner", hot_keys(left, ["_key_hash"], hot_rows, 0))
     # The hash only routes rows; equality of the real values decides.
-    return joined.filter(F.struct(*on).eqNullSafe(F.col("_v"))).select(*df.columns, *cols)
+    return joined.filter(F.struct(*on).eqNullSafe(F.col("_key_of"))).select(*df.columns, *cols)
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str) -> DataFrame:

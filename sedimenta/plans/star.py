@@ -36,11 +36,7 @@ def dim_date(df: DataFrame, column: str) -> DataFrame:
 
 def completed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of completed orders with customer and order date."""
-    done = (
-        shapes.orders(spark, sf_dir)
-        .filter(F.col("status") == "completed")
-        .select("order_id", "customer_id", "order_date")
-    )
+    done = shapes.orders(spark, sf_dir, shapes.COMPLETED).select("order_id", "customer_id", "order_date")
     return skew_join(shapes.lines(spark, sf_dir), done, ["order_id"])
 
 

@@ -32,13 +32,17 @@ def copies(n: Column) -> Column:
     return F.explode(F.sequence(F.lit(1), n))
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, code: str | None = None) -> DataFrame:
+    """Orders; with ``code`` only those of a status code, filtered in the scan."""
+    raw = table(spark, sf_dir, "orders")
+    if code is not None:
+        raw = raw.filter(F.col("o_orderstatus") == code)
     status = (
         F.when(F.col("o_orderstatus") == "F", "completed")
         .when(F.col("o_orderstatus") == "O", "pending")
         .otherwise("processing")
     )
-    return table(spark, sf_dir, "orders").select(
+    return raw.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         money("o_totalprice").alias("amount"),
@@ -162,6 +166,9 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Status code of a completed order.
+COMPLETED = "F"
+
 # Split of the change log into a first load and the changes after it.
 CUTOVER = "2024-01-15 00:00:00"
 
