@@ -80,7 +80,7 @@ def zorder(df: DataFrame, columns: list[str], files: int, bits: int = BITS) -> D
     which lets filters on any of them skip files.  Many rows with one code are
     spread over partitions by their salt.
     """
-    coded = df.withColumn("_spread", row_salt(df, 1 << 20))
+    coded = df.withColumn("_spread", row_salt(df))
     for i, c in enumerate(columns):
         kind = df.schema[c].dataType
         cuts = F.array(*[F.lit(v).cast(kind) for v in range_cuts(df, c, 1 << bits)]).cast(T.ArrayType(kind))

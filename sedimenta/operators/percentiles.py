@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from sedimenta.operators.windows import BUCKET_ROWS, join_values, sequence_windows
 from sedimenta.scale import hot_keys
 
+# Groups and tables up to these sizes are left to the built-in function.
+BUFFER_ROWS = 200_000
+BUFFER_TABLE_BYTES = 16 * 1024 * 1024
+
 
 def exact_percentiles(
     df: DataFrame,
@@ -20,12 +24,15 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated percentiles of ``value`` per key, one column per name.
 
-    The built-in function keeps all values of a group in one buffer.  For a
-    large group the values are counted, the counts are run up in order, and
-    the one or two values at each position are picked.
+    The built-in function keeps all values of a group in one buffer, so it is
+    used only where every group is small.  Otherwise the values are counted,
+    the counts are run up in order, and the one or two values at each position
+    are picked.
     """
+    group_rows = BUFFER_ROWS if hot_rows is None else hot_rows
+    table_bytes = BUFFER_TABLE_BYTES if small_bytes is None else small_bytes
     some = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    if hot_keys(some, keys, hot_rows, small_bytes) is None:
+    if hot_keys(some, keys, group_rows, table_bytes) is None:
         return some.groupBy(*keys).agg(
             *[F.percentile("_v", F.lit(p)).alias(n) for n, p in probabilities.items()]
         )

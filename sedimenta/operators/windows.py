@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from sedimenta.operators.ranges import with_range_number
 from sedimenta.scale import hot_keys, null_safe, salted_join
 
-MAX_SPLITS = 4096
+MAX_SPLITS = 32_768
 BUCKET_ROWS = 1_000_000
-# The search for a row's bucket covers 8191 cuts per key, twice the number expected.
-_CUT_BITS = 13
+# The search for a row's bucket covers 65,535 cuts per key, twice the number expected.
+_CUT_BITS = 16
 
 
 def order_buckets(

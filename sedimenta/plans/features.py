@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators.merge import assert_unique
 from sedimenta.plans.star import ratio
-from sedimenta.scale import skew_join
+from sedimenta.scale import durable, skew_join
 
 CHURN_DAYS = 90
 
@@ -78,8 +78,11 @@ def anomaly_features(events: DataFrame) -> DataFrame:
 
 
 def lookup(rows: DataFrame, features: DataFrame, key: str) -> DataFrame:
-    """Join a feature table on its primary key, which is checked first."""
-    return skew_join(rows, assert_unique(features, [key]), [key], "left")
+    """Join a feature table on its primary key, which is checked first.
+
+    The features are written once, and both the check and the join read them.
+    """
+    return skew_join(rows, assert_unique(durable(features, "features"), [key]), [key], "left")
 
 
 def churn_by_segment(segments: DataFrame) -> DataFrame:

@@ -46,7 +46,9 @@ def impact(edges: DataFrame, start: str, depth: int = MAX_DEPTH) -> DataFrame:
     level is written out: the plan stays short and a lost executor repeats
     one level at most.
     """
-    links = edges.groupBy("source_table", "target_table").agg(F.count(F.lit(1)).alias("_links"))
+    links = durable(
+        edges.groupBy("source_table", "target_table").agg(F.count(F.lit(1)).alias("_links")), "links"
+    )
     hot = hot_keys(links, ["source_table"])
     levels = []
     front = None

@@ -186,6 +186,7 @@ def detect_anomalies(
     rows; those are flagged.  Scores are written once and the percentile that
     separates the rows is taken from them.
     """
+    rows = durable(rows, "features")
     nodes = fit_isolation_forest(rows, key, columns, trees, size)
     scored = durable(rows.withColumn("_s", -isolation_score(nodes, columns, size)), "scores")
     offset = exact_percentiles(scored, [], "_s", {"cut": contamination}).first()["cut"]

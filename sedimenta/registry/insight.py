@@ -196,16 +196,14 @@ _CLASSES = "CASE " + " ".join(
 
 @query("classify_text", f"SELECT doc_id, {_CLASSES} AS ai_category FROM documents")
 def classify_text(spark, sf_dir):
-    return shapes.table(spark, sf_dir, "documents").select(
-        "doc_id", tx.classify(F.col("text")).alias("ai_category")
-    )
+    docs = shapes.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tx.classify(docs, "text").drop("text")
 
 
 @query("classify_conversations", f"SELECT conv_id, turn, {_CLASSES} AS ai_category FROM conversations")
 def classify_conversations(spark, sf_dir):
-    return shapes.table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", tx.classify(F.col("text")).alias("ai_category")
-    )
+    turns = shapes.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return tx.classify(turns, "text").drop("text")
 
 
 @query("category_distribution", f"SELECT {_CLASSES} AS ai_category, COUNT(*) AS product_count FROM documents GROUP BY 1")
@@ -224,8 +222,8 @@ def _hits(words):
 SELECT review_id, rating, CASE WHEN rating >= 4 OR g > b THEN 'Positive' WHEN rating <= 2 OR b > g THEN 'Negative' ELSE 'Neutral' END AS sentiment
 FROM (SELECT review_id, rating, {_hits(tx.POSITIVE_WORDS)} AS g, {_hits(tx.NEGATIVE_WORDS)} AS b FROM {REVIEWS})""")
 def sentiment(spark, sf_dir):
-    return shapes.reviews(spark, sf_dir).select(
-        "review_id", "rating", tx.sentiment(F.col("review_text"), F.col("rating")).alias("sentiment")
+    return tx.sentiment(shapes.reviews(spark, sf_dir), "review_text", "rating").select(
+        "review_id", "rating", "sentiment"
     )
 
 

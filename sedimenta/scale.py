@@ -24,8 +24,10 @@ SMALL_BYTES = 256 * 1024 * 1024
 HOT_ROWS = 5_000_000
 # A key at the limit is expected this often in the sample that finds it.
 SAMPLE_HITS = 1000
-# Only the largest keys are listed: any other key has under 1/1024 of the rows.
-MAX_HOT_KEYS = 1024
+# Only the largest keys are listed: any other key has under 1/32768 of the rows.
+MAX_HOT_KEYS = 32_768
+# Rows with a NULL key match nothing; they are spread over this many salts.
+NULL_SALTS = 65_536
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -97,13 +99,13 @@ def null_safe(left: str, right: str, keys: list[str]) -> Column:
     return cond
 
 
-def row_salt(df: DataFrame, salts: int) -> Column:
-    """Salt of a row that a re-run task computes again to the same value.
+def row_salt(df: DataFrame) -> Column:
+    """A number that spreads rows and that a re-run task computes again.
 
     The partition number spreads identical copies of a row, the hash spreads
     the rows of one partition.
     """
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts)).cast("int")
+    return F.xxhash64(F.spark_partition_id(), *df.columns)
 
 
 def skew_join(
@@ -116,9 +118,10 @@ def skew_join(
 ) -> DataFrame:
     """Join a large ``left`` to a ``right`` with few rows per key.
 
-    Rows of hot keys in ``left`` get a salt and the matching rows of ``right``
-    are repeated once per salt; all other rows keep salt 0.  No row is lost:
-    each left row meets every right row of its key exactly once.
+    Rows of a hot key in ``left`` get one of as many salts as the key needs
+    tasks, and the matching rows of ``right`` are repeated once per salt; all
+    other rows keep salt 0.  No row is lost: each left row meets every right
+    row of its key exactly once.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join keeps left rows, {how!r} does not")
@@ -134,28 +137,34 @@ def skew_join(
 def salted_join(
     left: DataFrame, right: DataFrame, on: list[str], how: str, hot: DataFrame | None
 ) -> DataFrame:
-    """``skew_join`` with the hot keys already known (``None``: plain join)."""
+    """``skew_join`` with the hot keys already known (``None``: plain join).
+
+    ``hot`` has the keys and ``_rows``.  A salt stands for ``HOT_ROWS`` rows,
+    or for an average hot key where that is smaller, so ``right`` grows by one
+    row per ``HOT_ROWS`` hot rows and at most two per hot key.
+    """
     if hot is None:
         return left.join(right, on, how)
-    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    marks = F.broadcast(hot.select(*on, F.lit(True).alias("_hot")))
+    sizes = [r["_rows"] for r in hot.select("_rows").collect()]
+    rows_per_salt = min(max(1, sum(sizes) // len(sizes)), HOT_ROWS)
+    marks = F.broadcast(
+        hot.select(*on, F.ceil(F.col("_rows") / F.lit(rows_per_salt)).cast("bigint").alias("_salts"))
+    )
+    missing = F.lit(False)
+    for k in on:
+        missing = missing | F.col(k).isNull()
+    salts = F.when(missing, F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
     salted_left = (
-        left.withColumn("_row_salt", row_salt(left, salts))
+        left.withColumn("_row_salt", row_salt(left))
         .join(marks, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.col("_row_salt")).otherwise(F.lit(0)))
-        .drop("_hot", "_row_salt")
+        .withColumn("_salt", F.pmod(F.col("_row_salt"), salts))
+        .drop("_salts", "_row_salt")
     )
     salted_right = (
         right.join(marks, on, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop("_hot")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+        .withColumn("_salt", F.col("_salt").cast("bigint"))
+        .drop("_salts")
     )
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 

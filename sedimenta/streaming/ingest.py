@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from sedimenta.operators import merge as mg
 from sedimenta.operators import quality as q
 from sedimenta.operators.windows import latest_per_key
+from sedimenta.scale import durable
 
 
 def read_files(
@@ -47,7 +48,7 @@ def upsert(
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, keys, order)
+        newest = durable(latest_per_key(batch, keys, order), "batch")
         mg.merge_into(batch.sparkSession, path, newest, keys, buckets, mg.newer(ts))
 
     query = (

@@ -117,7 +117,7 @@ def test_salts_spread_copies(spark):
     df = spark.range(0, 4000, 1, 8).select(F.lit("x").alias("k"))
     from sedimenta.scale import row_salt
 
-    assert df.withColumn("s", row_salt(df, 64)).select("s").distinct().count() > 1
+    assert df.withColumn("s", row_salt(df)).select("s").distinct().count() > 1
 
 
 def test_hot_keys_by_sample(spark):
