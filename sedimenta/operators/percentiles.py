@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.operators.windows import BUCKET_ROWS, join_values, sequence_windows
-from sedimenta.scale import hot_keys
+from sedimenta.scale import durable, hot_keys
 
 # Groups and tables up to these sizes are left to the built-in function.
 BUFFER_ROWS = 200_000
@@ -39,13 +39,13 @@ def exact_percentiles(
     # As in sequence_windows: one group under a key the optimizer keeps.
     keyed = some if keys else some.withColumn("_all", F.pmod(F.xxhash64("_v"), F.lit(1)))
     by = keys or ["_all"]
-    counts = keyed.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    sizes = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    counts = durable(keyed.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "counts")
+    sizes = counts.groupBy(*by).agg(F.sum("_c").alias("_size"))
     upto = sequence_windows(
         counts, by, ["_v"], running={"_upto": "_c"},
         hot_rows=hot_rows, small_bytes=0, bucket_rows=bucket_rows,
     )
-    placed = join_values(upto, sizes, by, hot_rows)
+    placed = join_values(upto, sizes, by, hot_rows, same_keys=counts)
     aggs = []
     for i, p in enumerate(probabilities.values()):
         at = F.lit(p) * (F.col("_size") - 1)

@@ -5,10 +5,11 @@ key are cut into consecutive buckets of the sort order, each bucket is one
 window group, and what a bucket needs from the ones before it (row count,
 running sum, neighbouring value) comes from a per-bucket summary.
 
-Cut points are rows of the hot keys whose hash falls into one out of R, with R
-chosen so that about ``MAX_SPLITS`` of them exist whatever the table size.  The
-hash depends on the values only, so a re-run task finds the same cuts.  The
-sort columns should make rows unique, as equal rows cannot be cut apart.
+The cuts are values found in a sample of the hot keys' rows, about
+``MAX_SPLITS`` of them whatever the table size.  They are written once, so
+every reader and every re-run task sees the same cuts.  Rows with equal sort
+values stay together; the functions at the end also cope with a single sort
+value that is hot itself.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.operators.ranges import with_range_number
-from sedimenta.scale import hot_keys, null_safe, salted_join
+from sedimenta.scale import durable, hot_keys, null_safe, salted_join
 
 MAX_SPLITS = 32_768
 BUCKET_ROWS = 1_000_000
@@ -35,9 +36,9 @@ def order_buckets(
     hot_total = sum(r["_rows"] for r in hot.select("_rows").collect())
     per_bucket = max(bucket_rows, hot_total // MAX_SPLITS, 1)
     place = F.struct(*[F.col(c) for c in order])
-    marked = F.pmod(F.xxhash64(*order), F.lit(per_bucket)) == 0
     cuts = (
-        df.filter(marked)
+        df.select(*keys, *order)
+        .sample(1.0 / per_bucket, seed=29)
         .alias("r")
         .join(F.broadcast(hot).alias("h"), null_safe("r", "h", keys), "left_semi")
         .groupBy(*keys)
@@ -45,7 +46,7 @@ def order_buckets(
     )
     out = (
         df.alias("r")
-        .join(F.broadcast(cuts).alias("h"), null_safe("r", "h", keys), "left")
+        .join(F.broadcast(durable(cuts, "cuts")).alias("h"), null_safe("r", "h", keys), "left")
         .select("r.*", "h._cuts")
     )
     return with_range_number(out, "_bucket", F.col("_cuts"), place, _CUT_BITS)
@@ -59,60 +60,67 @@ def sequence_windows(
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
     running: dict[str, str] | None = None,
+    rank: str | None = None,
+    peer_running: dict[str, str] | None = None,
     hot_rows: int | None = None,
     small_bytes: int | None = None,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """Row number, neighbours and running sums per key in ``order``.
+    """Row number, neighbours, running sums and rank per key in ``order``.
 
     ``lag``/``lead`` map a new column to the column whose previous/next value
     it takes, ``running`` maps a new column to the column it sums up to and
-    including the row.  ``order`` is ascending and unique within a key.
+    including the row; for these ``order`` should be unique within a key.
+    Rows that are equal in ``order`` share their ``rank`` and their
+    ``peer_running`` sums.  Sorting is ascending, NULLs first.
     """
-    lag, lead, running = lag or {}, lead or {}, running or {}
+    lag, lead, running, peer_running = lag or {}, lead or {}, running or {}, peer_running or {}
     hot = hot_keys(df, keys, hot_rows, small_bytes)
     columns = df.columns
-    if hot is not None and not keys:
-        # One group: give it a key that is always 0 but that the optimizer does
-        # not know to be constant, so that its joins stay hash joins.
-        df, keys = df.withColumn("_all", F.pmod(F.xxhash64(*order), F.lit(1))), ["_all"]
-        hot = hot.withColumn("_all", F.pmod(F.xxhash64("_rows"), F.lit(1)))
     if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         new = [F.row_number().over(w).cast("long").alias(number)] if number else []
+        new += [F.rank().over(w).cast("long").alias(rank)] if rank else []
         new += [F.lag(c).over(w).alias(n) for n, c in lag.items()]
         new += [F.lead(c).over(w).alias(n) for n, c in lead.items()]
         new += [F.sum(c).over(upto).alias(n) for n, c in running.items()]
+        new += [F.sum(c).over(w).alias(n) for n, c in peer_running.items()]
         return df.select(*columns, *new)
 
+    if not keys:
+        # One group: give it a key that is always 0 but that the optimizer does
+        # not know to be constant, so that its joins stay hash joins.
+        df, keys = df.withColumn("_all", F.pmod(F.xxhash64(*order), F.lit(1))), ["_all"]
+        hot = hot.withColumn("_all", F.pmod(F.xxhash64("_rows"), F.lit(1)))
     rows = order_buckets(df, keys, order, hot, bucket_rows)
-    carry = _carry(rows, keys, order, lag, lead, running)
+    sums = {**running, **peer_running}
+    carry = _carry(rows, keys, order, lag, lead, sums)
     w = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = [F.row_number().over(w).cast("long").alias("_n"),
              F.lead(F.lit(True)).over(w).isNull().alias("_end")]
+    local += [F.rank().over(w).cast("long").alias("_rank")] if rank else []
     local += [F.lag(c).over(w).alias(f"_lag_{n}") for n, c in lag.items()]
     local += [F.lead(c).over(w).alias(f"_lead_{n}") for n, c in lead.items()]
     local += [F.sum(c).over(upto).alias(f"_run_{n}") for n, c in running.items()]
+    local += [F.sum(c).over(w).alias(f"_run_{n}") for n, c in peer_running.items()]
     rows = rows.drop("_cuts").select("*", *local)
 
     joined = rows.alias("r").join(
         F.broadcast(carry).alias("c"), null_safe("r", "c", [*keys, "_bucket"]), "left"
     )
-    new = []
-    if number:
-        new.append((F.col("_n") + F.coalesce("_c_rows", F.lit(0))).alias(number))
+    before = F.coalesce("_c_rows", F.lit(0))
+    new = [(F.col("_n") + before).alias(number)] if number else []
+    new += [(F.col("_rank") + before).alias(rank)] if rank else []
     for n in lag:
         new.append(F.when(F.col("_n") == 1, F.col(f"_c_lag_{n}")).otherwise(F.col(f"_lag_{n}")).alias(n))
     for n in lead:
         new.append(F.when(F.col("_end"), F.col(f"_c_lead_{n}")).otherwise(F.col(f"_lead_{n}")).alias(n))
-    for n in running:
-        before, here = F.col(f"_c_run_{n}"), F.col(f"_run_{n}")
-        new.append(
-            F.when(before.isNull(), here).when(here.isNull(), before).otherwise(before + here)
-            .cast(_sum_type(df, running[n])).alias(n)
-        )
+    for n, c in sums.items():
+        earlier, here = F.col(f"_c_run_{n}"), F.col(f"_run_{n}")
+        total = F.when(earlier.isNull(), here).when(here.isNull(), earlier).otherwise(earlier + here)
+        new.append(total.cast(_sum_type(df, c)).alias(n))
     return joined.select(*[F.col(f"r.{c}") for c in columns], *new)
 
 
@@ -120,22 +128,22 @@ def _sum_type(df: DataFrame, column: str):
     return df.select(F.sum(column)).schema[0].dataType
 
 
-def _carry(rows, keys, order, lag, lead, running) -> DataFrame:
+def _carry(rows, keys, order, lag, lead, sums) -> DataFrame:
     """One row per bucket of a hot key: what the buckets around it hold."""
     place = F.struct(*[F.col(c) for c in order])
     aggs = [F.count(F.lit(1)).alias("_rows")]
     # Structs keep a NULL neighbour apart from a missing one.
     aggs += [F.max_by(F.struct(F.col(c).alias("v")), place).alias(f"_lag_{n}") for n, c in lag.items()]
     aggs += [F.min_by(F.struct(F.col(c).alias("v")), place).alias(f"_lead_{n}") for n, c in lead.items()]
-    aggs += [F.sum(c).alias(f"_run_{n}") for n, c in running.items()]
+    aggs += [F.sum(c).alias(f"_run_{n}") for n, c in sums.items()]
     parts = rows.filter(F.col("_cuts").isNotNull()).groupBy(*keys, "_bucket").agg(*aggs)
-    # At most MAX_SPLITS buckets per key: this window is small whatever the data.
+    # About MAX_SPLITS buckets in all: this window is small whatever the data.
     w = Window.partitionBy(*keys).orderBy("_bucket")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     out = [F.sum("_rows").over(before).alias("_c_rows")]
     out += [F.lag(f"_lag_{n}").over(w)["v"].alias(f"_c_lag_{n}") for n in lag]
     out += [F.lead(f"_lead_{n}").over(w)["v"].alias(f"_c_lead_{n}") for n in lead]
-    out += [F.sum(f"_run_{n}").over(before).alias(f"_c_run_{n}") for n in running]
+    out += [F.sum(f"_run_{n}").over(before).alias(f"_c_run_{n}") for n in sums]
     return parts.select(*keys, "_bucket", *out)
 
 
@@ -151,19 +159,19 @@ def peer_running_total(
 ) -> DataFrame:
     """Running sum per key where rows with equal ``order`` share one total.
 
-    For hot keys equal rows are summed first, the totals are run up over the
-    distinct values, and the rows join their total with salt.
+    Where a single (key, order) is hot, equal rows are summed first, the
+    totals are run up over the distinct values, and the rows join their total
+    with salt.
     """
-    hot = hot_keys(df, keys, hot_rows, small_bytes)
-    if hot is None:
-        w = Window.partitionBy(*keys).orderBy(order)
-        return df.withColumn(name, F.sum(value).over(w))
-    peers = df.groupBy(*keys, order).agg(F.sum(value).alias("_peers"))
-    totals = sequence_windows(
-        peers, keys, [order], running={name: "_peers"},
-        hot_rows=hot_rows, small_bytes=0, bucket_rows=bucket_rows,
-    ).withColumn(name, F.col(name).cast(_sum_type(df, value)))
-    return join_values(df, totals.drop("_peers"), [*keys, order], hot_rows)
+    split = {"hot_rows": hot_rows, "bucket_rows": bucket_rows}
+    if hot_keys(df, [*keys, order], hot_rows, small_bytes) is None:
+        return sequence_windows(
+            df, keys, [order], peer_running={name: value}, small_bytes=small_bytes, **split
+        )
+    peers = durable(df.groupBy(*keys, order).agg(F.sum(value).alias("_peers")), "peers")
+    totals = sequence_windows(peers, keys, [order], running={name: "_peers"}, small_bytes=0, **split)
+    totals = totals.withColumn(name, F.col(name).cast(_sum_type(df, value))).drop("_peers")
+    return join_values(df, totals, [*keys, order], hot_rows)
 
 
 def global_rank(
@@ -174,42 +182,47 @@ def global_rank(
     small_bytes: int | None = None,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """``rank()`` over the whole table by ``order`` descending.
+    """``rank()`` over the whole table by a number, descending, NULLs last.
 
-    Past the small-table size the rank of a value is one more than the number
-    of rows with a greater value, run up over the distinct values.
+    Where a single value is hot, the rank of a value is one more than the
+    number of rows with a greater value, run up over the distinct values.
     """
-    hot = hot_keys(df, [], hot_rows, small_bytes)
-    if hot is None:
-        w = Window.orderBy(F.desc_nulls_last(order))
-        return df.withColumn(name, F.rank().over(w).cast("long"))
-    peers = (
-        df.groupBy(order)
-        .agg(F.count(F.lit(1)).alias("_peers"))
-        .withColumn("_none", F.col(order).isNull())
-        .withColumn("_down", -F.col(order))
-    )
+    split = {"hot_rows": hot_rows, "bucket_rows": bucket_rows}
+    downwards = {"_none": F.col(order).isNull(), "_down": -F.col(order)}
+    if hot_keys(df, [order], hot_rows, small_bytes) is None:
+        ranked = sequence_windows(
+            df.withColumns(downwards), [], list(downwards), rank=name, small_bytes=small_bytes, **split
+        )
+        return ranked.drop(*downwards)
+    peers = durable(df.groupBy(order).agg(F.count(F.lit(1)).alias("_peers")).withColumns(downwards), "peers")
     ranks = sequence_windows(
-        peers, [], ["_none", "_down"], running={"_upto": "_peers"},
-        hot_rows=hot_rows, small_bytes=0, bucket_rows=bucket_rows,
+        peers, [], list(downwards), running={"_upto": "_peers"}, small_bytes=0, **split
     ).select(order, (F.col("_upto") - F.col("_peers") + 1).cast("long").alias(name))
     return join_values(df, ranks, [order], hot_rows)
 
 
-def join_values(df: DataFrame, values: DataFrame, on: list[str], hot_rows: int | None) -> DataFrame:
+def join_values(
+    df: DataFrame, values: DataFrame, on: list[str], hot_rows: int | None, same_keys: DataFrame | None = None
+) -> DataFrame:
     """Give each row the one row of ``values`` with its key, which may be NULL
-    and may be hot.  Rows without a match are left out."""
+    and may be hot.  Rows without a match are left out.
+
+    ``same_keys`` is a frame with the keys of ``df`` that is cheaper to read;
+    hot keys are looked for in it.
+    """
     cols = [c for c in values.columns if c not in on]
-    left = df.withColumn("_key_hash", F.xxhash64(*on))
-    right = values.select(F.struct(*on).alias("_key_of"), *cols, F.xxhash64(*on).alias("_key_hash"))
-    joined = salted_join(left, right, ["_key_hash"], "inner", hot_keys(left, ["_key_hash"], hot_rows, 0))
+    key = F.xxhash64(*on).alias("_key_hash")
+    hot = hot_keys((df if same_keys is None else same_keys).select(key), ["_key_hash"], hot_rows, 0)
+    right = values.select(F.struct(*on).alias("_key_of"), *cols, key)
+    joined = salted_join(df.select("*", key), right, ["_key_hash"], "inner", hot)
     # The hash only routes rows; equality of the real values decides.
     return joined.filter(F.struct(*on).eqNullSafe(F.col("_key_of"))).select(*df.columns, *cols)
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str) -> DataFrame:
     """First ``n`` rows per key.  The optimizer limits each group before the
-    shuffle, so a hot key sends at most ``n`` rows per input task."""
+    shuffle, so a hot key sends at most ``n`` rows per input task.  It does so
+    for ``n`` up to 1000; for more, number the rows with ``sequence_windows``."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n)
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.operators.percentiles import exact_percentiles
+from sedimenta.operators.windows import top_n_per_group
 from sedimenta.plans.features import stratified_split
 from sedimenta.scale import durable
 
@@ -111,13 +112,15 @@ def draw_samples(rows: DataFrame, key: str, columns: list[str], trees: int, size
     pool_rows = min(n, wanted)
     if n > wanted:
         pool = pool.filter(F.pmod(F.xxhash64(F.col(key), F.lit("pool")), F.lit(n)) < wanted)
-    # Aim a fifth above the size; the sample is cut to the size in its tree.
+    # Aim a fifth above the size and keep ``size`` rows per tree.  The limit
+    # applies before the shuffle, so copies of a row cannot fill a task.
     take = int(size * 1.2)
     picked = F.filter(
         F.sequence(F.lit(0), F.lit(trees - 1)),
         lambda t: F.pmod(F.xxhash64(F.col(key), t), F.lit(max(pool_rows, 1))) < take,
     )
-    return pool.withColumn("tree", F.explode(picked))
+    drawn = pool.withColumn("tree", F.explode(picked))
+    return top_n_per_group(drawn, ["tree"], [F.xxhash64(key, "tree"), F.col(key)], size, "_r").drop("_r")
 
 
 def fit_isolation_forest(
@@ -127,7 +130,7 @@ def fit_isolation_forest(
     at most ``trees * 2 * size`` nodes reach the driver."""
 
     def grow(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(key).head(size)
+        part = part.sort_values([key, *columns])
         nodes = grow_tree(int(part["tree"].iloc[0]), part[columns].to_numpy(), seed)
         return pd.DataFrame(nodes, columns=["tree", "node", "feature", "threshold", "left", "right", "path"])
 

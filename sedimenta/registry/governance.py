@@ -153,7 +153,9 @@ def gdpr_deletion_log(spark, sf_dir):
     return g.deletion_log(subjects(spark, sf_dir), "2024-02-01 00:00:00", "privacy@corp.example.com", SALT)
 
 
-@query("gdpr_export_json")
+@query("gdpr_export_json", f"""
+SELECT customer_id, CAST(json_merge_patch('{{}}', to_json({{customer_id: customer_id, email: email, first_name: first_name, last_name: last_name,
+  address: address, city: city, state: state}})) AS VARCHAR) AS customer_data_json FROM {CUSTOMERS} WHERE {SUBJECT}""")
 def gdpr_export_json(spark, sf_dir):
     return g.portable_json(customers(spark, sf_dir), subjects(spark, sf_dir))
 

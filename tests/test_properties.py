@@ -81,6 +81,22 @@ def test_global_rank(spark, data):
     assert {r["id"]: r["rank"] for r in out.collect()} == want
 
 
+@given(table)
+@FEW
+def test_ties_below_the_limit(spark, data):
+    """Split keys whose ties are small: no detour over distinct values."""
+    df, raw = frame(spark, data)
+    calm = {"hot_rows": 14, "small_bytes": 0, "bucket_rows": 3}
+    df = df.withColumn("t", F.col("t") * 10 + F.col("id") % 10)
+    times = {r[2]: r[1] * 10 + r[2] % 10 for r in raw}
+    out = w.sequence_windows(df, ["k"], ["t"], rank="r", peer_running={"total": "v"}, **calm)
+    for row in out.collect():
+        same = [x for x in raw if x[0] == row["k"]]
+        upto = [x[3] for x in same if times[x[2]] <= row["t"] and x[3] is not None]
+        assert row["total"] == (sum(upto) if upto else None)
+        assert row["r"] == 1 + sum(times[x[2]] < row["t"] for x in same)
+
+
 @given(table)
 @FEW
 def test_percentiles_split(spark, data):
