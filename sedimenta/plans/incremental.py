@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.functions.cleaning import split_valid
 from sedimenta.operators import merge as mg
 from sedimenta.operators.windows import latest_per_key
 from sedimenta.scale import durable
@@ -59,6 +60,7 @@ def run_incremental(
     tie: list[str],
     lookback_hours: int = 24,
     buckets: int = 1024,
+    rejects_path: str | None = None,
 ) -> RunResult:
     """One run over a table written by ``write_bucketed`` with ``buckets``.
 
@@ -66,21 +68,26 @@ def run_incremental(
     are rewritten.  The state row is appended last: after a failure the next
     run reads the same rows again, and merging them twice changes nothing, as
     an update must be strictly newer.  An empty slice writes nothing.
+
+    Rows with a NULL key match nothing and would be inserted by every run:
+    they go to ``rejects_path``, in a folder per run, or are left out.
     """
     state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
     watermark = watermark_of(state, job)
     if watermark is None:
         raise ValueError(f"no successful run of {job} to continue from")
-    slice_ = read_after(log, ts, watermark, lookback_hours)
+    keyed, unkeyed = split_valid(read_after(log, ts, watermark, lookback_hours), keys)
+    run_no = state.filter(F.col("job_name") == job).agg(F.max("run_no")).first()[0] + 1
+    if rejects_path is not None:
+        unkeyed.write.mode("overwrite").parquet(f"{rejects_path}/run={run_no}")
     order = [F.desc(ts), *[F.desc(c) for c in tie]]
-    newest = durable(latest_per_key(slice_, keys, order), "slice")
+    newest = durable(latest_per_key(keyed, keys, order), "slice")
     stats = newest.agg(F.count(F.lit(1)).alias("n"), F.max(ts).cast("string").alias("top")).first()
     if stats["n"] == 0:
         return RunResult(0, 0, watermark)
     touched = mg.merge_into(spark, silver_path, newest, keys, buckets, mg.newer(ts))
     # The lookback may hold only old rows: a watermark never moves back.
     reached = max(watermark, stats["top"])
-    run_no = state.filter(F.col("job_name") == job).agg(F.max("run_no")).first()[0] + 1
     append_state(spark, state_path, job, watermark, reached, stats["n"], run_no)
     return RunResult(stats["n"], touched, reached)
 

@@ -312,3 +312,36 @@ def silver_orders(spark, sf_dir):
         "order_id", "customer_id", F.col("amount").cast("double").alias("amount"), "order_date", "status",
         "order_year", "order_month",
     )
+
+
+@query("dq_stage_log", f"""
+WITH b AS (SELECT COUNT(*) FILTER (NOT (amount > 0)) + COUNT(*) FILTER (customer_id IS NULL) AS bad, COUNT(*) FILTER (amount <= 0) AS r1,
+    COUNT(*) FILTER ({BAD_EMAIL}) AS r2 FROM {DIRTY}),
+  v AS (SELECT COUNT(*) FILTER (NOT (amount > 0)) + COUNT(*) FILTER (customer_id IS NULL) AS bad, COUNT(*) FILTER (amount <= 0) AS r1,
+    COUNT(*) FILTER ({BAD_EMAIL}) AS r2 FROM {LABELLED} WHERE validation_errors = 'Valid'),
+  a AS (SELECT 'raw' AS run, * FROM b UNION ALL SELECT 'valid', * FROM v),
+  s AS (SELECT unnest(['schema','rules','expectations','profile','write','monitoring']) AS stage)
+SELECT run, stage, CASE WHEN stage IN ('write','monitoring') THEN bad = 0 ELSE TRUE END AS success,
+  CASE WHEN stage = 'rules' THEN ((r1 = 0)::INT + (r2 = 0)::INT) || ' of 2 rules hold' END AS rules FROM a, s""")
+def dq_stage_log(spark, sf_dir):
+    """The run over the raw orders ends at the constraints, that over the valid ones does not."""
+    from sedimenta.plans.quality_run import run_quality
+    from sedimenta.scale import work_path
+
+    raw = dirty(spark, sf_dir)
+    valid, _ = q.split_valid(q.label_rules(raw, q.order_rules()))
+    rules = [
+        q.Rule("positive_amounts", "amount <= 0", "HIGH"),
+        q.Rule("email_format", f"NOT email RLIKE r'{EMAIL}'", "MEDIUM"),
+    ]
+
+    def log(run, df):
+        out = run_quality(
+            df, "orders", work_path(spark, "quality-run"), REQUIRED, rules, q.order_suite(0, 300000),
+            {"positive_amount": "amount > 0"}, ["customer_id"], "order_date",
+        )
+        return out.select(
+            F.lit(run).alias("run"), "stage", "success", F.when(F.col("stage") == "rules", F.col("detail")).alias("rules")
+        )
+
+    return log("raw", raw).union(log("valid", valid))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta.functions.cleaning import split_valid
 from sedimenta.operators import merge as mg
 from sedimenta.operators import quality as q
 from sedimenta.operators.windows import latest_per_key
@@ -39,16 +40,21 @@ def to_bronze(stream: DataFrame, path: str, checkpoint: str, run_ts: str) -> Non
 
 
 def upsert(
-    stream: DataFrame, path: str, checkpoint: str, keys: list[str], ts: str, order: list[Column], buckets: int
+    stream: DataFrame, path: str, checkpoint: str, keys: list[str], ts: str, order: list[Column], buckets: int,
+    rejects_path: str | None = None,
 ) -> None:
     """Merge each batch into a table written by ``write_bucketed``.
 
     The newest row per key of the batch wins if it is newer than the table's.
-    A batch that runs twice changes nothing the second time.
+    A batch that runs twice changes nothing the second time.  Rows with a NULL
+    key go to ``rejects_path``, in a folder per batch, or are left out.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        newest = durable(latest_per_key(batch, keys, order), "batch")
+        keyed, unkeyed = split_valid(batch, keys)
+        if rejects_path is not None:
+            unkeyed.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        newest = durable(latest_per_key(keyed, keys, order), "batch")
         mg.merge_into(batch.sparkSession, path, newest, keys, buckets, mg.newer(ts))
 
     query = (
