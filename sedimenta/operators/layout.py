@@ -48,19 +48,22 @@ def compact(
     )
 
 
-def range_cuts(df: DataFrame, column: str, ranges: int) -> list:
-    """About ``ranges - 1`` values that cut the distinct values evenly.
+def range_cuts(df: DataFrame, columns: list[str], ranges: int) -> list[list]:
+    """Per column about ``ranges - 1`` values that cut its distinct values evenly.
 
     A hash picks about four times as many distinct values as are needed; they
     reach the driver, and every fourth is a cut.
     """
-    values = df.select(column).filter(F.col(column).isNotNull())
-    distinct = values.agg(F.approx_count_distinct(column)).first()[0]
-    one_in = max(1, distinct // (4 * ranges))
-    picked = values.filter(F.pmod(F.xxhash64(column), F.lit(one_in)) == 0).distinct()
-    found = [r[0] for r in picked.orderBy(column).collect()]
-    step = max(1, -(-len(found) // ranges))
-    return found[step::step][: ranges - 1]
+    distinct = df.agg(*[F.approx_count_distinct(c) for c in columns]).first()
+    out = []
+    for c, n in zip(columns, distinct):
+        one_in = max(1, n // (4 * ranges))
+        values = df.select(c).filter(F.col(c).isNotNull())
+        picked = values.filter(F.pmod(F.xxhash64(c), F.lit(one_in)) == 0).distinct()
+        found = sorted(r[0] for r in picked.collect())
+        step = max(1, -(-len(found) // ranges))
+        out.append(found[step::step][: ranges - 1])
+    return out
 
 
 def interleave(numbers: list[Column], bits: int) -> Column:
@@ -81,9 +84,9 @@ def zorder(df: DataFrame, columns: list[str], files: int, bits: int = BITS) -> D
     spread over partitions by their salt.
     """
     coded = df.withColumn("_spread", row_salt(df))
-    for i, c in enumerate(columns):
+    for i, (c, values) in enumerate(zip(columns, range_cuts(df, columns, 1 << bits))):
         kind = df.schema[c].dataType
-        cuts = F.array(*[F.lit(v).cast(kind) for v in range_cuts(df, c, 1 << bits)]).cast(T.ArrayType(kind))
+        cuts = F.array(*[F.lit(v).cast(kind) for v in values]).cast(T.ArrayType(kind))
         coded = with_range_number(coded, f"_n{i}", cuts, F.col(c), bits)
     numbers = [F.col(f"_n{i}") for i in range(len(columns))]
     return (
