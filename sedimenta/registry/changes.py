@@ -6,7 +6,7 @@ from sedimenta.operators import merge as mg
 from sedimenta.operators.windows import latest_per_key
 from sedimenta.plans import incremental as inc
 from sedimenta.registry.base import query
-from sedimenta.registry.sqlshapes import CHANGES, CUTOVER, EVENTS_END, ORDERS
+from sedimenta.registry.sqlshapes import CHANGES, CUTOVER, ORDERS
 from sedimenta.scale import work_path
 from sedimenta.sources import shapes
 

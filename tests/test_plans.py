@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sedimenta import scale
 from sedimenta.operators import quality as q
 from sedimenta.operators.windows import latest_per_key
-from sedimenta.plans import incremental as inc, star
+from sedimenta.plans import incremental as inc
 from sedimenta.registry import QUERIES
 from sedimenta.sources import shapes
 
@@ -120,3 +120,20 @@ def test_incremental_merge_prunes_buckets(spark):
     assert df.count() == 1000 and df.filter("v = 2").count() == 1
     touched = spark.read.parquet(path).filter(F.col(mg.BUCKET).isin([3]))
     assert "PartitionFilters: [isnotnull(_bucket" in plan(touched)
+
+
+def test_calls_that_do_not_scale_are_absent():
+    """Rows reach the driver only where their number has a bound (see each call)."""
+    import pathlib
+
+    root = pathlib.Path(__file__).parents[1] / "sedimenta"
+    text = {p.relative_to(root).as_posix(): p.read_text() for p in root.rglob("*.py")}
+    for word in ("localCheckpoint", "crossJoin", ".rdd", "F.udf", "toLocalIterator"):
+        assert [f for f, s in text.items() if word in s] == []
+    # The nodes of an isolation forest.
+    assert [f for f, s in text.items() if "toPandas" in s] == ["plans/models.py"]
+    # Hot keys, touched buckets, range cuts, constraint names, classes.
+    assert {f for f, s in text.items() if ".collect()" in s} == {
+        "scale.py", "operators/merge.py", "operators/layout.py", "operators/quality.py", "operators/windows.py",
+        "plans/models.py",
+    }
