@@ -23,7 +23,7 @@ from sedimenta.llm.store import Store, column
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-RANGE_ROWS = 5000
+RANGE_ROWS = 1000
 # Hexadecimal digits of the key that ranges are cut by.
 DIGITS = 7
 
