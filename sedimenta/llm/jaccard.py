@@ -11,15 +11,17 @@ is reached exactly when ``d * (1 + t) <= (1 - t) * (|x| + |y|)``, and then
    the first pivot is the empty set.  Shingle space is cut by hash into more
    fragments than D allows changed shingles; linked points agree on a whole
    fragment, and a fragment's content is a region.  Points whose size window
-   reaches into the next size class are replicated there.
-3. *Pivots.*  Every region has a pivot (its smallest id).  All regions of one
-   pivot form its cell; the exact distance of each member to it is computed.
+   reaches into the next size class are replicated there.  Regions of up to
+   ``PAIRS`` points are compared pairwise.
+3. *Pivots.*  A larger region gets as pivot its most central member, the one
+   that shares most regions with others.  All regions of one pivot form its
+   cell; the exact distance of each member to it is computed.
 4. *Windows.*  Seen from its pivot p a point is the difference ``e = x ^ p``,
    and ``|e_x ^ e_y| = |x ^ y|``.  By the triangle inequality linked members
    whose differences are disjoint are both linked to p.  All others share one
-   of the first ``D + 1`` elements of e in an order that is fixed for the cell
-   (strange shingles before missing ones): each member is replicated to the
-   regions of these elements.
+   of the first ``D + 1`` elements of e in any order that is fixed for the
+   cell; with the order from rare to frequent few points meet.  Each member is
+   replicated to the regions of these elements.
 5. *Recursion.*  These regions get pivots in turn.  Cells whose members are
    all in one component are done; regions of at most ``leaf`` points are
    compared pairwise within the window ``|d(x,p) - d(y,p)| <= 1 - t``.
@@ -35,13 +37,15 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm import words as wd
 from sedimenta.llm.graph import components
 from sedimenta.llm.store import Store, column, rows_in
 
+# Regions of so many points are compared pairwise at once.
+PAIRS = 8
 _SALT = np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -126,23 +130,29 @@ def _sets(batches, k: int):
                 wd.lists(wd.signed(np.concatenate(found)), ends, pa.int64())], ["id", "h1", "s"])
 
 
-def _measure(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Exact distance of ``(p, x)`` and the first elements of the difference."""
+def _measure(pairs: DataFrame, sets: DataFrame, num: int, den: int, differences: bool = False) -> DataFrame:
+    """Whether ``(p, x)`` link, their exact distance and, if asked for, the difference."""
     both = pairs.join(sets.select(F.col("id").alias("p"), F.col("s").alias("sp")), "p").join(
         sets.select(F.col("id").alias("x"), F.col("s").alias("sx")), "x")
-    both = both.withColumn("new", F.array_except("sx", "sp")).withColumn("gone", F.array_except("sp", "sx"))
-    most = F.floor(F.size("sx") * F.lit(den - num) / F.lit(num)).cast("int")
-    d, total = F.size("new") + F.size("gone"), F.size("sx") + F.size("sp")
+    total = F.size("sx") + F.size("sp")
+    if differences:
+        both = both.withColumn("e", F.concat(F.array_except("sx", "sp"), F.array_except("sp", "sx")))
+        d = F.size("e")
+    else:
+        d = total - 2 * F.size(F.array_intersect("sx", "sp"))
     return both.select(
         "p", "x", (d * F.lit(den + num) <= total * F.lit(den - num)).alias("linked"),
-        (2.0 * d / (total + d)).alias("far"),
-        F.slice(F.concat("new", "gone"), F.lit(1), most + 1).alias("first"))
+        (2.0 * d / (total + d)).alias("far"), *(["e"] if differences else []))
 
 
 def _near(n, m, num: int, den: int):
     return F.least(n, m) * F.lit(den) >= F.greatest(n, m) * F.lit(num)
 
 
+def _links(measured: DataFrame) -> DataFrame:
+    return measured.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
+
+
 def near_components(
     docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, leaf: int = 32, levels: int = 4
 ) -> DataFrame:
@@ -168,50 +178,55 @@ def near_components(
     reps = classes.filter("doc_id = rep").select("doc_id", "n", "h1", "h2")
     rows = store.keep(points.join(reps, ["doc_id", "n", "h1", "h2"], "left_semi").select(F.col("doc_id").alias("x"), "n", "sigs"))
     rows = rows.select(F.explode("sigs").alias("key"), "x", "n")
-    shared = rows.groupBy("key").agg(F.min("x").alias("p"), F.max("x").alias("last"))
-    cells = store.keep(rows.join(shared.filter("p < last"), "key").select("key", "p", "x", "n"))
-
-    wanted = cells.select(F.col("x").alias("doc_id")).distinct()
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    regions = store.keep(rows.join(shared, "key").select("key", "x", "n", "size"))
+    score = store.keep(regions.groupBy("x").agg(F.sum("size").alias("score")))
+    wide = regions.filter(F.col("size") > PAIRS).join(score, "x")
+    pivots = wide.groupBy("key").agg(F.max(F.struct("score", "x")).alias("m")).select("key", F.col("m.x").alias("p"))
+    cells = store.keep(wide.join(pivots, "key").select("p", "x", "n").distinct())
+    small = regions.filter(F.col("size") <= PAIRS).drop("size")
+    pairs = small.alias("l").join(small.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.x") < F.col("r.x"))
+                                  & _near(F.col("l.n"), F.col("r.n"), num, den))
+    pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct()
+
+    wanted = score.select(F.col("x").alias("doc_id"))
     sets = store.keep(rows_in(texts, wanted).mapInArrow(partial(_sets, k=k), "id long, h1 long, s array<long>"))
     if not sets.groupBy("id").count().filter("count > 1").isEmpty():
         sets = sets.join(reps.select(F.col("doc_id").alias("id"), "h1"), ["id", "h1"], "left_semi").dropDuplicates(["id"])
-    links = store.keep(classes.filter("false").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
-    done = None
-    comp = None
+    done = store.keep(_measure(pairs, sets, num, den))
+    links, done = _links(done), done.select("p", "x")
     for level in range(levels + 1):
-        stars = cells.filter("x <> p").select("p", "x").distinct()
-        if done is not None:
-            stars = stars.join(done.select("p", "x"), ["p", "x"], "left_anti")
-        measured = store.keep(_measure(stars, sets, num, den))
-        done = measured if done is None else done.union(measured)
-        links = links.union(measured.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b")))
+        if cells.isEmpty():
+            break
+        stars = store.keep(_measure(cells.filter("x <> p").select("p", "x"), sets, num, den, differences=True))
+        links, done = links.union(_links(stars)), done.union(stars.select("p", "x"))
         comp = store.keep(components(links, store))
-        # Cells by pivot; those with more than one component among the members go on.
-        members = done.join(cells.select("p", "x").distinct(), ["p", "x"], "left_semi")
-        members = members.join(cells.select("x", "n").distinct(), "x").join(
-            comp.withColumnRenamed("node", "x"), "x", "left").select(
-            "p", "x", "n", "far", "first", F.coalesce("component", "x").alias("c"))
+        # Cells with more than one component among their members go on.
+        members = stars.join(cells, ["p", "x"]).join(comp.withColumnRenamed("node", "x"), "x", "left").select(
+            "p", "x", "n", "far", "e", F.coalesce("component", "x").alias("c"))
         split = members.groupBy("p").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("p")
-        rows = store.keep(members.join(split, "p").select(
-            F.explode("first").alias("e"), "p", "x", "n", "far", "c"))
-        keyed = rows.withColumn("key", F.xxhash64("p", "e"))
-        shared = keyed.groupBy("key").agg(
-            F.min("x").alias("q"), F.count(F.lit(1)).alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-        shared = shared.filter("lo < hi")
-        inside = store.keep(keyed.join(shared.select("key", "q", "size"), "key"))
+        seen = store.keep(members.join(split, "p").select("p", "x", "n", "far", "c", F.explode("e").alias("e")))
+        often = seen.groupBy("p", "e").agg(F.count(F.lit(1)).alias("f"))
+        rank = F.row_number().over(Window.partitionBy("p", "x").orderBy("f", "e"))
+        most = F.floor(F.col("n") * F.lit(den - num) / F.lit(num))
+        keyed = store.keep(seen.join(often, ["p", "e"]).withColumn("rank", rank).filter(
+            (F.col("rank") <= most + 1) & (F.col("f") > 1)).select("p", "e", "x", "n", "far", "c"))
+        found = keyed.join(score, "x").groupBy("p", "e").agg(
+            F.max(F.struct("score", "x")).alias("m"), F.count(F.lit(1)).alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+        inside = store.keep(keyed.join(
+            found.filter("lo < hi").select("p", "e", F.col("m.x").alias("q"), "size"), ["p", "e"]))
         small = inside if level == levels else inside.filter(F.col("size") <= leaf)
-        pairs = small.select("key", "p", "x", "n", "far", "c").alias("l").join(
-            small.select("key", "p", "x", "n", "far", "c").alias("r"),
-            (F.col("l.key") == F.col("r.key")) & (F.col("l.p") == F.col("r.p")) & (F.col("l.x") < F.col("r.x"))
+        pairs = small.alias("l").join(
+            small.alias("r"),
+            (F.col("l.p") == F.col("r.p")) & (F.col("l.e") == F.col("r.e")) & (F.col("l.x") < F.col("r.x"))
             & (F.col("l.c") != F.col("r.c")) & _near(F.col("l.n"), F.col("r.n"), num, den)
             & (F.abs(F.col("l.far") - F.col("r.far")) <= F.lit((den - num) / den + 1e-9)))
-        pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct().join(
-            done.select("p", "x"), ["p", "x"], "left_anti")
-        leafs = store.keep(_measure(pairs, sets, num, den).select("p", "x", "linked"))
-        links = links.union(leafs.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b")))
-        cells = inside.filter(F.col("size") > leaf).select("key", F.col("q").alias("p"), "x", "n")
-        if level == levels or cells.isEmpty():
+        pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct().join(done, ["p", "x"], "left_anti")
+        leaves = store.keep(_measure(pairs, sets, num, den))
+        links, done = links.union(_links(leaves)), done.union(leaves.select("p", "x"))
+        if level == levels:
             break
+        cells = store.keep(inside.filter(F.col("size") > leaf).select(F.col("q").alias("p"), "x", "n").distinct())
     comp = store.keep(components(links, store))
     labels = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", F.coalesce("component", "rep").alias("component_id"))
