@@ -20,11 +20,12 @@ is reached exactly when ``d * (1 + t) <= (1 - t) * (|x| + |y|)``, and then
    and ``|e_x ^ e_y| = |x ^ y|``.  By the triangle inequality linked members
    whose differences are disjoint are both linked to p.  All others share one
    of the first ``D + 1`` elements of e in any order that is fixed for the
-   cell; with the order from rare to frequent few points meet.  Each member is
-   replicated to the regions of these elements.
+   cell: strange shingles before missing ones, those of most members last.
+   Each member is replicated to the regions of these elements.
 5. *Recursion.*  These regions get pivots in turn.  Cells whose members are
    all in one component are done; regions of at most ``leaf`` points are
-   compared pairwise within the window ``|d(x,p) - d(y,p)| <= 1 - t``.
+   compared pairwise within the window ``|d(x,p) - d(y,p)| <= 1 - t`` and a
+   second one: counts in ``COUNTED`` parts of shingle space bound ``|x ^ y|``.
 
 Every level shortens a region at least by its pivot; after ``levels`` levels
 the rest is compared pairwise, so no link is lost.
@@ -46,6 +47,10 @@ from sedimenta.llm.store import Store, column, rows_in
 
 # Regions of so many points are compared pairwise at once.
 PAIRS = 8
+# Frequent elements of a cell that are put last, at most.
+SLACK = 4
+# Parts of shingle space whose counts bound a distance from below.
+COUNTED = 64
 _SALT = np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -125,9 +130,11 @@ def _sets(batches, k: int):
             found = list(_document_sets(w, k))
             ends = np.cumsum([len(x) for x in found])
             one = np.array([wd.mix(s).sum(dtype=np.uint64) for s in found], np.uint64)
+            counts = [np.bincount((s >> np.uint64(20)).astype(np.int64) % COUNTED, minlength=COUNTED) for s in found]
             yield pa.RecordBatch.from_arrays([
-                part.column(0), pa.array(wd.signed(one)),
-                wd.lists(wd.signed(np.concatenate(found)), ends, pa.int64())], ["id", "h1", "s"])
+                part.column(0), pa.array(wd.signed(one)), wd.lists(wd.signed(np.concatenate(found)), ends, pa.int64()),
+                wd.lists(np.concatenate(counts).astype(np.int32), COUNTED * np.arange(1, len(found) + 1), pa.int32())],
+                ["id", "h1", "s", "v"])
 
 
 def _measure(pairs: DataFrame, sets: DataFrame, num: int, den: int, differences: bool = False) -> DataFrame:
@@ -149,12 +156,19 @@ def _near(n, m, num: int, den: int):
     return F.least(n, m) * F.lit(den) >= F.greatest(n, m) * F.lit(num)
 
 
+def _may(v, w, n, m, num: int, den: int):
+    """Not ruled out by the counts: a point's distances to the parts of shingle
+    space, taken as pivots, differ in all by no more than the points do."""
+    apart = F.aggregate(F.zip_with(v, w, lambda a, b: F.abs(a - b)), F.lit(0), lambda t, a: t + a)
+    return apart * F.lit(den + num) <= (n + m) * F.lit(den - num)
+
+
 def _links(measured: DataFrame) -> DataFrame:
     return measured.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
 
 
 def near_components(
-    docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, leaf: int = 32, levels: int = 4
+    docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, leaf: int = 512, levels: int = 4
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs(doc_id, text)``.
 
@@ -190,9 +204,12 @@ def near_components(
     pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct()
 
     wanted = score.select(F.col("x").alias("doc_id"))
-    sets = store.keep(rows_in(texts, wanted).mapInArrow(partial(_sets, k=k), "id long, h1 long, s array<long>"))
+    sets = store.keep(rows_in(texts, wanted).mapInArrow(partial(_sets, k=k), "id long, h1 long, s array<long>, v array<int>"))
     if not sets.groupBy("id").count().filter("count > 1").isEmpty():
         sets = sets.join(reps.select(F.col("doc_id").alias("id"), "h1"), ["id", "h1"], "left_semi").dropDuplicates(["id"])
+    counts = store.keep(sets.select(F.col("id").alias("x"), "v", F.size("s").alias("m")))
+    pairs = pairs.join(counts.select(F.col("x").alias("p"), F.col("v").alias("w"), F.col("m").alias("o")), "p").join(counts, "x")
+    pairs = pairs.filter(_may(F.col("v"), F.col("w"), F.col("m"), F.col("o"), num, den)).select("p", "x")
     done = store.keep(_measure(pairs, sets, num, den))
     links, done = _links(done), done.select("p", "x")
     for level in range(levels + 1):
@@ -205,21 +222,28 @@ def near_components(
         members = stars.join(cells, ["p", "x"]).join(comp.withColumnRenamed("node", "x"), "x", "left").select(
             "p", "x", "n", "far", "e", F.coalesce("component", "x").alias("c"))
         split = members.groupBy("p").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("p")
-        seen = store.keep(members.join(split, "p").select("p", "x", "n", "far", "c", F.explode("e").alias("e")))
+        most = F.floor(F.col("n") * F.lit(den - num) / F.lit(num)).cast("int") + 1
+        seen = store.keep(members.join(split, "p").select(
+            "p", "x", "n", "far", "c", F.posexplode(F.slice("e", F.lit(1), most + SLACK)).alias("at", "e")))
+        # Elements of most members are strange to the pivot, not to them: up to SLACK of a cell go last.
         often = seen.groupBy("p", "e").agg(F.count(F.lit(1)).alias("f"))
-        rank = F.row_number().over(Window.partitionBy("p", "x").orderBy("f", "e"))
-        most = F.floor(F.col("n") * F.lit(den - num) / F.lit(num))
-        keyed = store.keep(seen.join(often, ["p", "e"]).withColumn("rank", rank).filter(
-            (F.col("rank") <= most + 1) & (F.col("f") > 1)).select("p", "e", "x", "n", "far", "c"))
+        whole = seen.groupBy("p").agg(F.countDistinct("x").alias("size"))
+        often = often.filter(F.col("f") > PAIRS).join(whole, "p").filter("2 * f > size").select("p", "e")
+        short = often.groupBy("p").count().filter(F.col("count") <= SLACK).select("p")
+        often = often.join(short, "p").withColumn("last", F.lit(1))
+        rank = F.row_number().over(Window.partitionBy("p", "x").orderBy(F.coalesce("last", F.lit(0)), "at"))
+        keyed = store.keep(seen.join(often, ["p", "e"], "left").withColumn("rank", rank).filter(
+            F.col("rank") <= most).select("p", "e", "x", "n", "far", "c"))
         found = keyed.join(score, "x").groupBy("p", "e").agg(
             F.max(F.struct("score", "x")).alias("m"), F.count(F.lit(1)).alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi"))
         inside = store.keep(keyed.join(
             found.filter("lo < hi").select("p", "e", F.col("m.x").alias("q"), "size"), ["p", "e"]))
-        small = inside if level == levels else inside.filter(F.col("size") <= leaf)
+        small = (inside if level == levels else inside.filter(F.col("size") <= leaf)).join(counts.select("x", "v"), "x")
         pairs = small.alias("l").join(
             small.alias("r"),
             (F.col("l.p") == F.col("r.p")) & (F.col("l.e") == F.col("r.e")) & (F.col("l.x") < F.col("r.x"))
             & (F.col("l.c") != F.col("r.c")) & _near(F.col("l.n"), F.col("r.n"), num, den)
+            & _may(F.col("l.v"), F.col("r.v"), F.col("l.n"), F.col("r.n"), num, den)
             & (F.abs(F.col("l.far") - F.col("r.far")) <= F.lit((den - num) / den + 1e-9)))
         pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct().join(done, ["p", "x"], "left_anti")
         leaves = store.keep(_measure(pairs, sets, num, den))
