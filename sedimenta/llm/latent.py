@@ -90,9 +90,9 @@ def _tokens(batches, shared):
                 wd.lists(number[hit].astype(np.int32), ends, pa.int32())], ["doc_id", "place", "word"])
 
 
-def _cells(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, block, word and count of every (block, word) of a batch, and the
-    first cell of each block; blocks in order."""
+def _by_block(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, block and word of every place of a batch in order, and the first
+    place of each block."""
     places, numbers = batch.column(1), batch.column(2)
     size = np.diff(places.offsets.to_numpy())
     row = np.repeat(np.arange(batch.num_rows), size)
@@ -100,21 +100,18 @@ def _cells(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.nd
     word = numbers.flatten().to_numpy()
     if not len(row):
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none
-    order = np.lexsort((word, block, row))
-    row, block, word = row[order], block[order], word[order]
-    new = np.concatenate(([True], (row[1:] != row[:-1]) | (block[1:] != block[:-1]) | (word[1:] != word[:-1])))
-    start = np.flatnonzero(new)
-    times = np.diff(np.append(start, len(row)))
-    row, block, word = row[start], block[start], word[start]
+        return none, none, none, none
     fresh = np.concatenate(([True], (row[1:] != row[:-1]) | (block[1:] != block[:-1])))
-    return row, block, word, times, np.flatnonzero(fresh)
+    return row, block, word, np.flatnonzero(fresh)
 
 
 def _document_frequency(batches, n_words):
     total = np.zeros(n_words, dtype=np.int64)
     for batch in batches:
-        total += np.bincount(_cells(batch)[2], minlength=n_words)
+        row, _, word, first = _by_block(batch)
+        if len(row):
+            number = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
+            total += np.bincount(np.unique(number * n_words + word) % n_words, minlength=n_words)
     own = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(total[own])], ["word", "df"])
 
@@ -130,15 +127,16 @@ def _sketch(batches, shared):
     scaled = (omega * weight[:, None]).astype(np.float32)
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
-            _, _, word, times, first = _cells(batch.slice(at, 512))
+            _, _, word, first = _by_block(batch.slice(at, 512))
             if not len(word):
                 continue
-            rows = np.add.reduceat(scaled[word] * times[:, None].astype(np.float32), first, axis=0)
-            size = np.diff(np.append(first, len(word)))
-            spread = np.repeat(rows, size, axis=0) * (times * weight[word])[:, None].astype(np.float32)
+            # A word counts as often as it stands in the block; the second weight comes last.
+            rows = np.add.reduceat(scaled[word], first, axis=0)
+            number = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
             order = np.argsort(word, kind="stable")
             begin = np.flatnonzero(np.concatenate(([True], np.diff(word[order]) != 0)))
-            total[word[order][begin]] += np.add.reduceat(spread[order], begin, axis=0)
+            total[word[order][begin]] += np.add.reduceat(rows[number[order]], begin, axis=0)
+    total *= weight[:, None]
     chunks = [c for c in range(0, len(total), CHUNK) if total[c:c + CHUNK].any()]
     yield pa.RecordBatch.from_arrays([
         pa.array([c // CHUNK for c in chunks], pa.int32()), pa.array(range(len(chunks)), pa.int32()),
@@ -163,10 +161,10 @@ def _candidates(batches, shared):
     for batch in batches:
         doc, start, item, cosine = [], [], [], []
         for at in range(0, batch.num_rows, 512):
-            row, block, word, times, first = _cells(batch.slice(at, 512))
+            row, block, word, first = _by_block(batch.slice(at, 512))
             if not len(word):
                 continue
-            own = np.add.reduceat(basis[word] * times[:, None].astype(np.float32), first, axis=0)
+            own = np.add.reduceat(basis[word], first, axis=0)
             r, b = row[first], block[first]
             # Passage i is block i and, where it follows, the next one.
             passage = own.copy()
