@@ -256,7 +256,8 @@ def _basis(tokens: DataFrame, lexicon: Lexicon, store: Store) -> tuple[np.ndarra
     for keys in (["chunk", "part"], ["chunk"]):
         parts = parts.groupBy(*keys).applyInArrow(_add, "chunk int, part int, z binary")
     z = np.zeros(omega.shape)
-    for row in parts.toLocalIterator():
+    # One row per word of the benchmark.
+    for row in parts.collect():
         block = np.frombuffer(bytes(row.z), dtype=np.float32).reshape(-1, omega.shape[1])
         z[row.chunk * CHUNK:row.chunk * CHUNK + len(block)] = block
     # G ~ Z (omega' Z)^-1 Z'; with a shift for stability.
