@@ -83,6 +83,8 @@ def zorder(df: DataFrame, columns: list[str], files: int, bits: int = BITS) -> D
     which lets filters on any of them skip files.  Many rows with one code are
     spread over partitions by their salt.
     """
+    if bits * len(columns) > 63:
+        raise ValueError(f"{len(columns)} columns of {bits} bits exceed the 63 bits of a code")
     coded = df.withColumn("_spread", row_salt(df))
     for i, (c, values) in enumerate(zip(columns, range_cuts(df, columns, 1 << bits))):
         kind = df.schema[c].dataType

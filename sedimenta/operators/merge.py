@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimenta.operators.windows import latest_per_key, sequence_windows
-from sedimenta.scale import durable
-from sedimenta.sources import files
 
 ACTION = "_action"
 
@@ -122,36 +125,99 @@ def key_bucket(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def _state(spark: SparkSession, path: str) -> dict | None:
+    """Current version of a bucketed table: bucket count, keys, schema and the
+    version each filled bucket was last written in.  At most one row per bucket
+    is collected."""
+    try:
+        rows = spark.read.parquet(f"{path}/_state")
+    except AnalysisException:
+        return None
+    whole = rows.filter("whole").agg(F.max("version")).first()[0]
+    now = rows.filter(F.col("version") >= whole)
+    last = now.orderBy(F.desc("version")).first()
+    filled = now.groupBy("bucket").agg(F.max_by("filled", "version").alias("filled"), F.max("version").alias("version"))
+    folders = {r["bucket"]: r["version"] for r in filled.filter("filled").collect()}
+    return {"version": last["version"], "buckets": last["buckets"], "schema": T.StructType.fromJson(json.loads(last["schema"])),
+            "folders": folders}
+
+
+def _commit(df: DataFrame, path: str, buckets: int, version: int, touched: list[int], whole: bool) -> None:
+    """Write the buckets to a folder of their own, then the state rows that
+    make them current.  Before the state is there, readers see the old version."""
+    spark, folder = df.sparkSession, f"{path}/data/version={version}"
+    df.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+    schema = df.drop(BUCKET).schema
+    full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    filled = {r[0] for r in spark.read.schema(full).parquet(folder).select(BUCKET).distinct().collect()}
+    rows = [(version, b, b in filled, buckets, schema.json(), whole) for b in touched]
+    spark.createDataFrame(
+        rows, "version bigint, bucket int, filled boolean, buckets int, schema string, whole boolean"
+    ).coalesce(1).write.mode("append").parquet(f"{path}/_state")
+
+
 def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> str:
     """Write a table that ``merge_into`` can update: one directory per hash
-    bucket of the key."""
-    files.write_partitioned(df.withColumn(BUCKET, key_bucket(keys, buckets)), path, [BUCKET])
+    bucket of the key.  The number of buckets is kept with the table."""
+    state = _state(df.sparkSession, path)
+    version = 0 if state is None else state["version"] + 1
+    _commit(df.withColumn(BUCKET, key_bucket(keys, buckets)), path, buckets, version, list(range(buckets)), True)
     return path
 
 
+def _read(spark: SparkSession, path: str, state: dict, only: list[int] | None = None) -> DataFrame:
+    folders = [f"{path}/data/version={v}/{BUCKET}={b}" for b, v in sorted(state["folders"].items())
+               if only is None or b in only]
+    if not folders:
+        return spark.createDataFrame([], state["schema"]).withColumn(BUCKET, F.lit(0))
+    schema = T.StructType([*state["schema"].fields, T.StructField(BUCKET, T.IntegerType())])
+    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*folders).select(*schema.names)
+
+
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+    """The current version, with the columns of all merges so far."""
+    state = _state(spark, path)
+    if state is None:
+        raise ValueError(f"no bucketed table at {path}")
+    return _read(spark, path, state).drop(BUCKET)
+
+
+def check_source(source: DataFrame, keys: list[str]) -> None:
+    """Raise when a key is NULL or occurs twice: a MERGE would insert a NULL
+    key again each time, and has no rule which of two rows wins."""
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    bad = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | missing)
+    if not bad.isEmpty():
+        raise ValueError("the source of a merge has NULL or repeated keys")
 
 
 def merge_into(
-    spark: SparkSession, path: str, source: DataFrame, keys: list[str], buckets: int, update_when: Column
+    spark: SparkSession, path: str, source: DataFrame, keys: list[str], buckets: int, update_when: Column,
+    delete_when: Column | None = None,
 ) -> int:
-    """Upsert ``source`` into a bucketed table; only buckets with a changed
-    key are read and rewritten.  Returns their number.
-
-    The merged rows are written to the shared folder before the old ones are
-    replaced.  If the replacement is interrupted, the same call completes it:
-    with a strict ``update_when`` a row that is merged already stays as it is.
+    """MERGE ``source`` into a bucketed table; only buckets with a changed key
+    are read and rewritten.  Returns their number.
+
+    Rewritten buckets go to a new folder and become current with the state
+    rows that are written last.  An interrupted call changes nothing, and the
+    repeated one overwrites what it left.  Columns of the source take the
+    table's types (a value that does not fit is an error), new columns are
+    added.  Folders of older versions may be deleted when no reader needs them.
     """
-    changes = source.withColumn(BUCKET, key_bucket(keys, buckets))
+    state = _state(spark, path)
+    if state is None:
+        raise ValueError(f"no bucketed table at {path}")
+    if state["buckets"] != buckets:
+        raise ValueError(f"the table has {state['buckets']} buckets, not {buckets}")
+    kinds = {f.name: f.dataType for f in state["schema"].fields}
+    changes = source.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in source.columns])
+    check_source(changes, keys)
+    changes = changes.withColumn(BUCKET, key_bucket(keys, buckets))
     touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]  # at most ``buckets``
     if not touched:
         return 0
-    target = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
-    merged = durable(merge(target, changes, [*keys, BUCKET], update_when), "merged")
-    merged.hint("rebalance", BUCKET).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(BUCKET).parquet(path)
+    merged = merge(_read(spark, path, state, touched), changes, [*keys, BUCKET], update_when, delete_when)
+    _commit(merged, path, buckets, state["version"] + 1, touched, False)
     return len(touched)
 
 
@@ -204,10 +270,16 @@ def change_history(
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Change feed between two snapshots: keys and ``change_type``."""
-    values = [c for c in old.columns if c not in keys]
-    o = old.select(*keys, F.struct(*values).alias("_old"))
-    n = new.select(*keys, F.struct(*values).alias("_new"))
+    """Change feed between two snapshots: keys and ``change_type``.
+
+    A column that one of them lacks is NULL there."""
+    kinds = {f.name: f.dataType for df in (new, old) for f in df.schema.fields if f.name not in keys}
+
+    def values(df: DataFrame) -> Column:
+        return F.struct(*[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in kinds.items()])
+
+    o = old.select(*keys, values(old).alias("_old"))
+    n = new.select(*keys, values(new).alias("_new"))
     change = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
@@ -239,6 +311,7 @@ def multiset_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def checksum(df: DataFrame) -> DataFrame:
-    """Order-independent checksum and row count of a table."""
-    h = F.xxhash64(*df.columns).cast("decimal(38,0)")
+    """Order-independent checksum and row count of a table; the hash skips
+    NULLs, so their places are hashed too."""
+    h = F.xxhash64(*df.columns, *[F.col(c).isNull() for c in df.columns]).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(h).alias("checksum"))

@@ -57,5 +57,6 @@ def exact_percentiles(
     for i, (name, p) in enumerate(probabilities.items()):
         at = F.lit(p) * (F.col("_size") - 1)
         share = at - F.floor(at)
-        out.append((F.col(f"_lo{i}") * (1 - share) + F.col(f"_hi{i}") * share).alias(name))
+        between = F.col(f"_lo{i}") * (1 - share) + F.col(f"_hi{i}") * share
+        out.append(F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}")).otherwise(between).alias(name))
     return picked.select(*keys, *out)

@@ -33,7 +33,7 @@ def uniqueness(df: DataFrame, key: str) -> DataFrame:
     """Distinct values of ``key``, NULL being one, against the rows."""
     one = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        (F.count_distinct(key) + F.max(F.col(key).isNull().cast("int"))).alias("distinct_values"),
+        (F.count_distinct(key) + F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))).alias("distinct_values"),
     )
     return one.withColumn(
         "uniqueness_rate", F.round(percent(F.col("distinct_values"), F.col("total_rows")), 4)
@@ -277,7 +277,7 @@ def quality_metrics(df: DataFrame, key: str, required: list[str]) -> DataFrame:
     email_ok = F.col("email").rlike(EMAIL_PATTERN)
     one = df.agg(
         F.count(F.lit(1)).alias("total_records"),
-        (F.count_distinct(key) + F.max(F.col(key).isNull().cast("int"))).alias("unique_keys"),
+        (F.count_distinct(key) + F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))).alias("unique_keys"),
         F.count_if(F.col("amount") > 0).alias("_amount"),
         F.count_if(F.col("status").isin(ORDER_STATUSES)).alias("_status"),
         F.count("email").alias("_emails"),
@@ -361,8 +361,8 @@ class Rule:
 def run_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """``rule_name, is_valid, message, severity`` per rule.
 
-    A rule that cannot be resolved on this table is reported as CRITICAL, and
-    the others still run.
+    A rule that cannot be resolved on this table, or fails on one of its
+    values, is reported as CRITICAL, and the others still run.
     """
     good, broken = [], []
     for r in rules:
@@ -375,18 +375,22 @@ def run_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     failed = df.sparkSession.createDataFrame(broken, schema)
     if not good:
         return failed
-    one = df.agg(*[F.count_if(F.expr(r.violation)).alias(f"n{i}") for i, r in enumerate(good)])
-    rows = [
-        F.struct(
-            F.lit(r.name).alias("rule_name"), (F.col(f"n{i}") == 0).alias("is_valid"),
-            F.when(F.col(f"n{i}") == 0, "ok").otherwise(
-                F.format_string("Found %d violations", F.col(f"n{i}"))).alias("message"),
-            F.lit(r.severity).alias("severity"),
-        )
-        for i, r in enumerate(good)
-    ]
-    ran = rows_of(one, rows)
-    return ran.union(failed) if broken else ran
+    counts = [F.count_if(F.expr(r.violation)) for r in good]
+    try:
+        found = list(df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)]).first())
+    except PySparkException:
+        found = [_count_alone(df, c) for c in counts]  # one rule fails on a value: find it
+    broken += [(r.name, False, f"Rule execution failed: {n}", "CRITICAL") for r, n in zip(good, found) if isinstance(n, str)]
+    ran = [(r.name, n == 0, "ok" if n == 0 else f"Found {n} violations", r.severity)
+           for r, n in zip(good, found) if not isinstance(n, str)]
+    return df.sparkSession.createDataFrame(ran + broken, schema)
+
+
+def _count_alone(df: DataFrame, violations: Column) -> int | str:
+    try:
+        return df.agg(violations).first()[0]
+    except PySparkException as e:
+        return e.getCondition() or type(e).__name__
 
 
 # --- constraints ------------------------------------------------------------

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimenta.operators.ranges import with_range_number
 from sedimenta.scale import durable, hot_keys, null_safe, salted_join
@@ -188,7 +189,15 @@ def global_rank(
     number of rows with a greater value, run up over the distinct values.
     """
     split = {"hot_rows": hot_rows, "bucket_rows": bucket_rows}
-    downwards = {"_none": F.col(order).isNull(), "_down": -F.col(order)}
+    kind = df.schema[order].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        down = F.when(F.isnan(order), F.lit(0.0)).otherwise(-F.col(order))
+        nan = ~F.coalesce(F.isnan(order), F.lit(False))
+    else:  # -x - 1 falls as x rises and has no overflow
+        down = F.bitwise_not(order) if isinstance(kind, T.IntegralType) else -F.col(order)
+        nan = F.lit(True)
+    # As Spark sorts downwards: NaN first, NULL last.
+    downwards = {"_none": F.col(order).isNull(), "_number": nan, "_down": down}
     if hot_keys(df, [order], hot_rows, small_bytes) is None:
         ranked = sequence_windows(
             df.withColumns(downwards), [], list(downwards), rank=name, small_bytes=small_bytes, **split

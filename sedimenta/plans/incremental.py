@@ -47,6 +47,7 @@ class RunResult:
     processed: int
     buckets: int
     watermark: str
+    rejected: int = 0
 
 
 def run_incremental(
@@ -61,6 +62,7 @@ def run_incremental(
     lookback_hours: int = 24,
     buckets: int = 1024,
     rejects_path: str | None = None,
+    delete_when: Column | None = None,
 ) -> RunResult:
     """One run over a table written by ``write_bucketed`` with ``buckets``.
 
@@ -70,7 +72,9 @@ def run_incremental(
     an update must be strictly newer.  An empty slice writes nothing.
 
     Rows with a NULL key match nothing and would be inserted by every run:
-    they go to ``rejects_path``, in a folder per run, or are left out.
+    they go to ``rejects_path``, in a folder per run, and are counted; without
+    the path such a row is an error.  ``delete_when`` names source rows that
+    delete their key.
     """
     state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
     watermark = watermark_of(state, job)
@@ -78,18 +82,21 @@ def run_incremental(
         raise ValueError(f"no successful run of {job} to continue from")
     keyed, unkeyed = split_valid(read_after(log, ts, watermark, lookback_hours), keys)
     run_no = state.filter(F.col("job_name") == job).agg(F.max("run_no")).first()[0] + 1
-    if rejects_path is not None:
+    rejected = unkeyed.count()
+    if rejected and rejects_path is None:
+        raise ValueError(f"{rejected} rows without a key and no rejects_path")
+    if rejected:
         unkeyed.write.mode("overwrite").parquet(f"{rejects_path}/run={run_no}")
     order = [F.desc(ts), *[F.desc(c) for c in tie]]
     newest = durable(latest_per_key(keyed, keys, order), "slice")
     stats = newest.agg(F.count(F.lit(1)).alias("n"), F.max(ts).cast("string").alias("top")).first()
     if stats["n"] == 0:
-        return RunResult(0, 0, watermark)
-    touched = mg.merge_into(spark, silver_path, newest, keys, buckets, mg.newer(ts))
+        return RunResult(0, 0, watermark, rejected)
+    touched = mg.merge_into(spark, silver_path, newest, keys, buckets, mg.newer(ts), delete_when)
     # The lookback may hold only old rows: a watermark never moves back.
     reached = max(watermark, stats["top"])
     append_state(spark, state_path, job, watermark, reached, stats["n"], run_no)
-    return RunResult(stats["n"], touched, reached)
+    return RunResult(stats["n"], touched, reached, rejected)
 
 
 def append_state(

@@ -93,7 +93,8 @@ def grow_tree(tree: int, x: np.ndarray, seed: int) -> list[tuple]:
             nodes.append((tree, node, -1, 0.0, -1, -1, depth + float(average_path(len(rows)))))
             continue
         f = int(rng.choice(usable))
-        cut = float(rng.uniform(low[f], high[f]))
+        # Above the lowest value, so that both sides have rows.
+        cut = float(max(rng.uniform(low[f], high[f]), np.nextafter(low[f], high[f])))
         below = x[rows, f] < cut
         nodes.append((tree, node, f, cut, free, free + 1, 0.0))
         todo += [(free, rows[below], depth + 1), (free + 1, rows[~below], depth + 1)]

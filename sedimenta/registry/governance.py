@@ -210,11 +210,14 @@ def audit_access_summary(spark, sf_dir):
 @query("compliance_user_summary", f"""
 SELECT user_email, action_type, COUNT(*) AS operation_count, SUM(row_count)::BIGINT AS total_rows FROM {AUDIT} WHERE CAST("timestamp" AS DATE) = DATE '{DAY}' GROUP BY 1, 2""")
 def compliance_user_summary(spark, sf_dir):
-    return g.compliance_report(log(spark, sf_dir), DAY)["user_summary"]
+    report = g.compliance_report(log(spark, sf_dir), DAY).filter("report = 'operations'")
+    return report.select("user_email", F.col("subject").alias("action_type"), F.col("events").alias("operation_count"),
+                         F.col("rows").alias("total_rows"))
 
 
 @query("compliance_sensitive", f"""
 SELECT user_email, table_name, COUNT(*) AS access_count FROM {AUDIT} WHERE CAST("timestamp" AS DATE) = DATE '{DAY}'
   AND (contains(table_name, 'customers') OR contains(table_name, 'patient')) GROUP BY 1, 2""")
 def compliance_sensitive(spark, sf_dir):
-    return g.compliance_report(log(spark, sf_dir), DAY)["sensitive_access"]
+    report = g.compliance_report(log(spark, sf_dir), DAY).filter("report = 'sensitive'")
+    return report.select("user_email", F.col("subject").alias("table_name"), F.col("events").alias("access_count"))

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 # Below this estimate a whole table fits one task, so no key can be too large.
 SMALL_BYTES = 256 * 1024 * 1024
+# Under this even a column of one value has fewer rows than HOT_ROWS.
+TINY_BYTES = 512 * 1024
 # A key with more rows than this is split over several tasks.
 HOT_ROWS = 5_000_000
 # A key at the limit is expected this often in the sample that finds it.
@@ -71,7 +73,8 @@ def hot_keys(
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     small_bytes = SMALL_BYTES if small_bytes is None else small_bytes
-    if plan_bytes(df) <= small_bytes:
+    size = plan_bytes(df)
+    if size <= small_bytes and not (size > TINY_BYTES and _is_scan(df) and df.count() > hot_rows):
         return None
     share = min(1.0, SAMPLE_HITS / hot_rows)
     seen = df.select(*keys)
@@ -91,6 +94,13 @@ def hot_keys(
     return df.sparkSession.createDataFrame(rows, counts.schema)
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """A plan whose rows can be counted without a shuffle: compressed bytes say
+    little about rows, Parquet footers know them."""
+    plan = str(df._jdf.queryExecution().optimizedPlan().toString())
+    return not any(x in plan for x in ("Join", "Aggregate", "Window", "Generate", "Union", "Sort", "Distinct"))
+
+
 def null_safe(left: str, right: str, keys: list[str]) -> Column:
     """Equality of all ``keys`` between two aliases, NULL equal to NULL."""
     cond = F.lit(True)

@@ -41,21 +41,24 @@ def to_bronze(stream: DataFrame, path: str, checkpoint: str, run_ts: str) -> Non
 
 def upsert(
     stream: DataFrame, path: str, checkpoint: str, keys: list[str], ts: str, order: list[Column], buckets: int,
-    rejects_path: str | None = None,
+    rejects_path: str | None = None, delete_when: Column | None = None,
 ) -> None:
     """Merge each batch into a table written by ``write_bucketed``.
 
     The newest row per key of the batch wins if it is newer than the table's.
     A batch that runs twice changes nothing the second time.  Rows with a NULL
-    key go to ``rejects_path``, in a folder per batch, or are left out.
+    key go to ``rejects_path``, in a folder per batch; without it they are an
+    error.  ``delete_when`` names source rows that delete their key.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         keyed, unkeyed = split_valid(batch, keys)
+        if rejects_path is None and not unkeyed.isEmpty():
+            raise ValueError("rows without a key and no rejects_path")
         if rejects_path is not None:
             unkeyed.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
         newest = durable(latest_per_key(keyed, keys, order), "batch")
-        mg.merge_into(batch.sparkSession, path, newest, keys, buckets, mg.newer(ts))
+        mg.merge_into(batch.sparkSession, path, newest, keys, buckets, mg.newer(ts), delete_when)
 
     query = (
         stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
