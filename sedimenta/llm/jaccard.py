@@ -11,7 +11,10 @@ is reached exactly when ``d * (1 + t) <= (1 - t) * (|x| + |y|)``, and then
    the first pivot is the empty set.  Shingle space is cut by hash into more
    fragments than D allows changed shingles; linked points agree on a whole
    fragment, and a fragment's content is a region.  Points whose size window
-   reaches into the next size class are replicated there.  Regions of up to
+   reaches into the next size class are replicated there.  At similarities
+   below ``FRAGMENTS_FROM`` a region is a single shingle instead, and a point
+   is replicated to its first ``|x| - ceil(t * |x|) + 1`` in hash order: a
+   linked point lacks fewer of its shingles.  Regions of up to
    ``PAIRS`` points are compared pairwise.
 3. *Pivots.*  A larger region gets as pivot its most central member, the one
    that shares most regions with others.  All regions of one pivot form its
@@ -45,6 +48,8 @@ from sedimenta.llm import words as wd
 from sedimenta.llm.graph import components
 from sedimenta.llm.store import Store, column, rows_in
 
+# Below this similarity fragments get short and many: single shingles name the first regions.
+FRAGMENTS_FROM = (85, 100)
 # Regions of so many points are compared pairwise at once.
 PAIRS = 8
 # Frequent elements of a cell that are put last, at most.
@@ -80,10 +85,13 @@ def _document_sets(w: wd.Words, k: int) -> Iterator[np.ndarray]:
 
 
 def _signatures(s: np.ndarray, num: int, den: int, known: dict) -> np.ndarray:
-    """Region keys of one set: a hash of each fragment that holds shingles."""
+    """Region keys of one set: a hash of each fragment that holds shingles, or
+    its first shingles."""
     n = len(s)
     if n == 0:
         return s
+    if num * FRAGMENTS_FROM[1] < den * FRAGMENTS_FROM[0]:
+        return s[:n + 1 - -(-n * num // den)]
     most = n * (den - num) // num
     if known.get("upto", 0) < n:
         known["upto"] = 2 * n
