@@ -146,7 +146,8 @@ def _sets(batches, k: int):
 
 
 def _measure(pairs: DataFrame, sets: DataFrame, num: int, den: int, differences: bool = False) -> DataFrame:
-    """Whether ``(p, x)`` link, their exact distance and, if asked for, the difference."""
+    """Whether ``(p, x)`` link, their exact distance and, if asked for, the first
+    elements of the difference."""
     both = pairs.join(sets.select(F.col("id").alias("p"), F.col("s").alias("sp")), "p").join(
         sets.select(F.col("id").alias("x"), F.col("s").alias("sx")), "x")
     total = F.size("sx") + F.size("sp")
@@ -157,7 +158,12 @@ def _measure(pairs: DataFrame, sets: DataFrame, num: int, den: int, differences:
         d = total - 2 * F.size(F.array_intersect("sx", "sp"))
     return both.select(
         "p", "x", (d * F.lit(den + num) <= total * F.lit(den - num)).alias("linked"),
-        (2.0 * d / (total + d)).alias("far"), *(["e"] if differences else []))
+        (2.0 * d / (total + d)).alias("far"), *([F.slice("e", F.lit(1), _most(F.size("sx"), num, den) + SLACK).alias("e")] if differences else []))
+
+
+def _most(n, num: int, den: int):
+    """Elements of a difference that name regions."""
+    return F.floor(n * F.lit(den - num) / F.lit(num)).cast("int") + 1
 
 
 def _near(n, m, num: int, den: int):
@@ -230,9 +236,9 @@ def near_components(
         members = stars.join(cells, ["p", "x"]).join(comp.withColumnRenamed("node", "x"), "x", "left").select(
             "p", "x", "n", "far", "e", F.coalesce("component", "x").alias("c"))
         split = members.groupBy("p").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("p")
-        most = F.floor(F.col("n") * F.lit(den - num) / F.lit(num)).cast("int") + 1
+        most = _most(F.col("n"), num, den)
         seen = store.keep(members.join(split, "p").select(
-            "p", "x", "n", "far", "c", F.posexplode(F.slice("e", F.lit(1), most + SLACK)).alias("at", "e")))
+            "p", "x", "n", "far", "c", F.posexplode("e").alias("at", "e")))
         # Elements of most members are strange to the pivot, not to them: up to SLACK of a cell go last.
         often = seen.groupBy("p", "e").agg(F.count(F.lit(1)).alias("f"))
         whole = seen.groupBy("p").agg(F.countDistinct("x").alias("size"))
