@@ -13,9 +13,14 @@ from sedimenta.scale import shared_folder
 MAX_BROADCAST_IDS = 2_000_000
 
 
+# Shuffle files of a job are removed when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Store:
     """Tables written once and read again: a lost executor costs no more than
-    the step at work.  Nothing in it is ever changed."""
+    the step at work.  Nothing in it is ever changed.  The shuffle files of a
+    step go when its table is written."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.path = spark, f"{shared_folder(spark)}/sedimenta-llm/{name}-{uuid.uuid4().hex}"
@@ -24,7 +29,15 @@ class Store:
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.path}/{self.n}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(CLEANUP)
+            else:
+                self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
