@@ -18,7 +18,10 @@ is reached exactly when ``d * (1 + t) <= (1 - t) * (|x| + |y|)``, and then
    ``PAIRS`` points are compared pairwise.
 3. *Pivots.*  A larger region gets as pivot its most central member, the one
    that shares most regions with others.  All regions of one pivot form its
-   cell; the exact distance of each member to it is computed.
+   cell; members that may be linked to it are compared with it.  Regions of at
+   most ``leaf`` points whose members are still in several components are
+   compared pairwise; in the cells of larger ones the exact distance of each
+   member to the pivot is computed.
 4. *Windows.*  Seen from its pivot p a point is the difference ``e = x ^ p``,
    and ``|e_x ^ e_y| = |x ^ y|``.  By the triangle inequality linked members
    whose differences are disjoint are both linked to p.  All others share one
@@ -27,8 +30,11 @@ is reached exactly when ``d * (1 + t) <= (1 - t) * (|x| + |y|)``, and then
    Each member is replicated to the regions of these elements.
 5. *Recursion.*  These regions get pivots in turn.  Cells whose members are
    all in one component are done; regions of at most ``leaf`` points are
-   compared pairwise within the window ``|d(x,p) - d(y,p)| <= 1 - t`` and a
-   second one: counts in ``COUNTED`` parts of shingle space bound ``|x ^ y|``.
+   compared pairwise within the window ``|d(x,p) - d(y,p)| <= 1 - t``.
+
+Sets are read for candidates only.  Two bounds of ``|x ^ y|`` come first: the
+parities of the counts in 64 * ``PARITIES`` parts of shingle space, and these
+counts in a number of parts that grows with the set.
 
 Every level shortens a region at least by its pivot; after ``levels`` levels
 the rest is compared pairwise, so no link is lost.
@@ -37,7 +43,7 @@ the rest is compared pairwise, so no link is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +60,10 @@ FRAGMENTS_FROM = (85, 100)
 PAIRS = 8
 # Frequent elements of a cell that are put last, at most.
 SLACK = 4
-# Parts of shingle space whose counts bound a distance from below.
-COUNTED = 64
+# Parities of counts in parts of shingle space, in words of 64 bits.
+PARITIES = 8
+# Counts are kept of a power of two of parts, at least so many, with at most PER_PART shingles each in the mean.
+COUNTED, PER_PART = 64, 8
 _SALT = np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -114,22 +122,38 @@ def _signatures(s: np.ndarray, num: int, den: int, known: dict) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _parities(s: np.ndarray) -> np.ndarray:
+    odd = np.bincount((s >> np.uint64(40)).astype(np.int64) % (64 * PARITIES), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _counts(s: np.ndarray) -> np.ndarray:
+    parts = COUNTED
+    while parts * PER_PART < len(s):
+        parts *= 2
+    return np.bincount((s >> np.uint64(20)).astype(np.int64) % parts, minlength=parts).astype(np.int32)
+
+
 def _fingerprints(batches, k: int, num: int, den: int):
     known: dict = {}
     for batch in batches:
         for part, w in wd.slices(batch):
-            size, one, two, sigs = [], [], [], []
+            size, one, two, sigs, odd, counts = [], [], [], [], [], []
             for s in _document_sets(w, k):
                 size.append(len(s))
                 one.append(wd.mix(s).sum(dtype=np.uint64))
                 two.append(wd.mix(s ^ _SALT).sum(dtype=np.uint64))
                 sigs.append(_signatures(s, num, den, known))
+                odd.append(_parities(s))
+                counts.append(_counts(s))
             ends = np.cumsum([len(x) for x in sigs])
             yield pa.RecordBatch.from_arrays([
                 part.column(0), pa.array(size, pa.int64()),
                 pa.array(wd.signed(np.array(one, np.uint64))), pa.array(wd.signed(np.array(two, np.uint64))),
                 wd.lists(wd.signed(np.concatenate(sigs)), ends, pa.int64()),
-            ], ["doc_id", "n", "h1", "h2", "sigs"])
+                wd.lists(np.concatenate(odd), PARITIES * np.arange(1, len(odd) + 1), pa.int64()),
+                wd.lists(np.concatenate(counts), np.cumsum([len(x) for x in counts]), pa.int32()),
+            ], ["doc_id", "n", "h1", "h2", "sigs", "b", "v"])
 
 
 def _sets(batches, k: int):
@@ -138,18 +162,16 @@ def _sets(batches, k: int):
             found = list(_document_sets(w, k))
             ends = np.cumsum([len(x) for x in found])
             one = np.array([wd.mix(s).sum(dtype=np.uint64) for s in found], np.uint64)
-            counts = [np.bincount((s >> np.uint64(20)).astype(np.int64) % COUNTED, minlength=COUNTED) for s in found]
             yield pa.RecordBatch.from_arrays([
-                part.column(0), pa.array(wd.signed(one)), wd.lists(wd.signed(np.concatenate(found)), ends, pa.int64()),
-                wd.lists(np.concatenate(counts).astype(np.int32), COUNTED * np.arange(1, len(found) + 1), pa.int32())],
-                ["id", "h1", "s", "v"])
+                part.column(0), pa.array(wd.signed(one)), wd.lists(wd.signed(np.concatenate(found)), ends, pa.int64())],
+                ["id", "h1", "s"])
 
 
 def _measure(pairs: DataFrame, sets: DataFrame, num: int, den: int, differences: bool = False) -> DataFrame:
     """Whether ``(p, x)`` link, their exact distance and, if asked for, the first
     elements of the difference."""
-    both = pairs.join(sets.select(F.col("id").alias("p"), F.col("s").alias("sp")), "p").join(
-        sets.select(F.col("id").alias("x"), F.col("s").alias("sx")), "x")
+    both = pairs.join(sets.select(F.col("id").alias("x"), F.col("s").alias("sx")), "x").join(
+        sets.select(F.col("id").alias("p"), F.col("s").alias("sp")), "p")
     total = F.size("sx") + F.size("sp")
     if differences:
         both = both.withColumn("e", F.concat(F.array_except("sx", "sp"), F.array_except("sp", "sx")))
@@ -170,11 +192,33 @@ def _near(n, m, num: int, den: int):
     return F.least(n, m) * F.lit(den) >= F.greatest(n, m) * F.lit(num)
 
 
+def _odd(b, c, n, m, num: int, den: int):
+    """Not ruled out by the parities: an odd difference of counts is a difference."""
+    apart = sum(F.bit_count(b[i].bitwiseXOR(c[i])) for i in range(PARITIES))
+    return apart * F.lit(den + num) <= (n + m) * F.lit(den - num)
+
+
 def _may(v, w, n, m, num: int, den: int):
     """Not ruled out by the counts: a point's distances to the parts of shingle
     space, taken as pivots, differ in all by no more than the points do."""
-    apart = F.aggregate(F.zip_with(v, w, lambda a, b: F.abs(a - b)), F.lit(0), lambda t, a: t + a)
-    return apart * F.lit(den + num) <= (n + m) * F.lit(den - num)
+    def halved(a, b):
+        half = F.size(b)
+        twice = F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half), lambda p, q: p + q)
+        return F.when(F.size(a) == 2 * half, twice).otherwise(a)
+
+    apart = F.aggregate(F.zip_with(halved(v, w), halved(w, v), lambda p, q: F.abs(p - q)), F.lit(0), lambda t, a: t + a)
+    # Other numbers of parts leave the sum without value: then nothing is ruled out.
+    return F.coalesce(apart * F.lit(den + num) <= (n + m) * F.lit(den - num), F.lit(True))
+
+
+def _candidates(pairs: DataFrame, counts: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs ``(p, x)`` that the counts do not rule out."""
+    for name, test in (("b", _odd), ("v", _may)):
+        one = counts.select(F.col("x").alias("p"), F.col(name).alias("one"), F.col("m").alias("o"))
+        both = pairs.join(one, "p").join(counts.select("x", F.col(name).alias("two"), "m"), "x")
+        pairs = both.filter(_near(F.col("o"), F.col("m"), num, den)).filter(
+            test(F.col("one"), F.col("two"), F.col("o"), F.col("m"), num, den)).select("p", "x")
+    return pairs
 
 
 def _links(measured: DataFrame) -> DataFrame:
@@ -198,34 +242,57 @@ def near_components(
     store = Store(docs.sparkSession, "jaccard")
     texts = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text"))
     base = store.keep(texts.mapInArrow(
-        partial(_fingerprints, k=k, num=num, den=den), "doc_id long, n long, h1 long, h2 long, sigs array<long>"))
+        partial(_fingerprints, k=k, num=num, den=den), "doc_id long, n long, h1 long, h2 long, sigs array<long>, b array<long>, v array<int>"))
     points = base.filter("n > 0 and doc_id is not null")
     own = points.groupBy("doc_id").agg(F.min(F.struct("n", "h1", "h2")).alias("f"))
     copies = own.groupBy("f").agg(F.min("doc_id").alias("rep"))
     classes = store.keep(own.join(copies, "f").select("doc_id", "rep", "f.n", "f.h1", "f.h2"))
     reps = classes.filter("doc_id = rep").select("doc_id", "n", "h1", "h2")
-    rows = store.keep(points.join(reps, ["doc_id", "n", "h1", "h2"], "left_semi").select(F.col("doc_id").alias("x"), "n", "sigs"))
-    rows = rows.select(F.explode("sigs").alias("key"), "x", "n")
+    rows = points.join(reps, ["doc_id", "n", "h1", "h2"], "left_semi").select(
+        F.explode("sigs").alias("key"), F.col("doc_id").alias("x"), "n")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     regions = store.keep(rows.join(shared, "key").select("key", "x", "n", "size"))
     score = store.keep(regions.groupBy("x").agg(F.sum("size").alias("score")))
-    wide = regions.filter(F.col("size") > PAIRS).join(score, "x")
-    pivots = wide.groupBy("key").agg(F.max(F.struct("score", "x")).alias("m")).select("key", F.col("m.x").alias("p"))
-    cells = store.keep(wide.join(pivots, "key").select("p", "x", "n").distinct())
+    counts = store.keep(points.join(score.select(F.col("x").alias("doc_id")), "doc_id", "left_semi").join(
+        reps, ["doc_id", "n", "h1", "h2"], "left_semi").dropDuplicates(["doc_id"]).select(
+        F.col("doc_id").alias("x"), F.col("n").alias("m"), "b", "v"))
+
+    def sets_of(*ids) -> DataFrame:
+        wanted = reduce(DataFrame.union, [d.select(F.col(c).alias("doc_id")) for d, c in ids]).distinct()
+        found = store.keep(rows_in(texts, wanted).mapInArrow(partial(_sets, k=k), "id long, h1 long, s array<long>"))
+        if found.groupBy("id").count().filter("count > 1").isEmpty():
+            return found
+        return found.join(reps.select(F.col("doc_id").alias("id"), "h1"), ["id", "h1"], "left_semi").dropDuplicates(["id"])
+
+    # Small regions pairwise, larger ones from their pivots.
+    wide = regions.filter(F.col("size") > PAIRS)
+    pivots = store.keep(wide.join(score, "x").groupBy("key").agg(F.max(F.struct("score", "x")).alias("m")).select(
+        "key", F.col("m.x").alias("p")))
     small = regions.filter(F.col("size") <= PAIRS).drop("size")
     pairs = small.alias("l").join(small.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.x") < F.col("r.x"))
                                   & _near(F.col("l.n"), F.col("r.n"), num, den))
-    pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct()
-
-    wanted = score.select(F.col("x").alias("doc_id"))
-    sets = store.keep(rows_in(texts, wanted).mapInArrow(partial(_sets, k=k), "id long, h1 long, s array<long>, v array<int>"))
-    if not sets.groupBy("id").count().filter("count > 1").isEmpty():
-        sets = sets.join(reps.select(F.col("doc_id").alias("id"), "h1"), ["id", "h1"], "left_semi").dropDuplicates(["id"])
-    counts = store.keep(sets.select(F.col("id").alias("x"), "v", F.size("s").alias("m")))
-    pairs = pairs.join(counts.select(F.col("x").alias("p"), F.col("v").alias("w"), F.col("m").alias("o")), "p").join(counts, "x")
-    pairs = pairs.filter(_may(F.col("v"), F.col("w"), F.col("m"), F.col("o"), num, den)).select("p", "x")
-    done = store.keep(_measure(pairs, sets, num, den))
+    pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).union(
+        wide.join(pivots, "key").filter("x <> p").select("p", "x")).distinct()
+    pairs = store.keep(_candidates(pairs, counts, num, den))
+    done = store.keep(_measure(pairs, sets_of((pairs, "p"), (pairs, "x")), num, den))
     links, done = _links(done), done.select("p", "x")
+
+    # Regions whose members are not all in one component go on: up to ``leaf`` points pairwise, others as cells.
+    comp = store.keep(components(links, store))
+    placed = wide.join(comp.withColumnRenamed("node", "x"), "x", "left").withColumn("c", F.coalesce("component", "x"))
+    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+    placed = store.keep(placed.join(split, "key").select("key", "x", "n", "size", "c"))
+    middle = placed.filter(F.col("size") <= leaf).join(counts.select("x", "b"), "x")
+    pairs = middle.alias("l").join(
+        middle.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.x") < F.col("r.x")) & (F.col("l.c") != F.col("r.c"))
+        & _near(F.col("l.n"), F.col("r.n"), num, den)
+        & _odd(F.col("l.b"), F.col("r.b"), F.col("l.n"), F.col("r.n"), num, den))
+    pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct().join(done, ["p", "x"], "left_anti")
+    pairs = store.keep(_candidates(pairs, counts, num, den))
+    leaves = store.keep(_measure(pairs, sets_of((pairs, "p"), (pairs, "x")), num, den))
+    links, done = links.union(_links(leaves)), done.union(leaves.select("p", "x"))
+    cells = store.keep(placed.filter(F.col("size") > leaf).join(pivots, "key").select("p", "x", "n").distinct())
+    sets = sets_of((cells, "p"), (cells, "x"))
     for level in range(levels + 1):
         if cells.isEmpty():
             break
@@ -252,15 +319,15 @@ def near_components(
             F.max(F.struct("score", "x")).alias("m"), F.count(F.lit(1)).alias("size"), F.min("c").alias("lo"), F.max("c").alias("hi"))
         inside = store.keep(keyed.join(
             found.filter("lo < hi").select("p", "e", F.col("m.x").alias("q"), "size"), ["p", "e"]))
-        small = (inside if level == levels else inside.filter(F.col("size") <= leaf)).join(counts.select("x", "v"), "x")
+        small = (inside if level == levels else inside.filter(F.col("size") <= leaf)).join(counts.select("x", "b"), "x")
         pairs = small.alias("l").join(
             small.alias("r"),
             (F.col("l.p") == F.col("r.p")) & (F.col("l.e") == F.col("r.e")) & (F.col("l.x") < F.col("r.x"))
             & (F.col("l.c") != F.col("r.c")) & _near(F.col("l.n"), F.col("r.n"), num, den)
-            & _may(F.col("l.v"), F.col("r.v"), F.col("l.n"), F.col("r.n"), num, den)
+            & _odd(F.col("l.b"), F.col("r.b"), F.col("l.n"), F.col("r.n"), num, den)
             & (F.abs(F.col("l.far") - F.col("r.far")) <= F.lit((den - num) / den + 1e-9)))
         pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct().join(done, ["p", "x"], "left_anti")
-        leaves = store.keep(_measure(pairs, sets, num, den))
+        leaves = store.keep(_measure(_candidates(pairs, counts, num, den), sets, num, den))
         links, done = links.union(_links(leaves)), done.union(leaves.select("p", "x"))
         if level == levels:
             break
