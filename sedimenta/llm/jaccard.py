@@ -64,6 +64,8 @@ SLACK = 4
 PARITIES = 8
 # Counts are kept of a power of two of parts, at least so many, with at most PER_PART shingles each in the mean.
 COUNTED, PER_PART = 64, 8
+# Broadcast up to so many pairs, and sets of so many elements in all (32 MB each).
+MAX_BROADCAST_PAIRS, MAX_BROADCAST_ELEMENTS = 1_000_000, 4_000_000
 _SALT = np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -163,15 +165,19 @@ def _sets(batches, k: int):
             ends = np.cumsum([len(x) for x in found])
             one = np.array([wd.mix(s).sum(dtype=np.uint64) for s in found], np.uint64)
             yield pa.RecordBatch.from_arrays([
-                part.column(0), pa.array(wd.signed(one)), wd.lists(wd.signed(np.concatenate(found)), ends, pa.int64())],
-                ["id", "h1", "s"])
+                part.column(0), pa.array(wd.signed(one)), wd.lists(wd.signed(np.concatenate(found)), ends, pa.int64()),
+                pa.array([len(s) for s in found], pa.int64())], ["id", "h1", "s", "m"])
 
 
 def _measure(pairs: DataFrame, sets: DataFrame, num: int, den: int, differences: bool = False) -> DataFrame:
     """Whether ``(p, x)`` link, their exact distance and, if asked for, the first
     elements of the difference."""
-    both = pairs.join(sets.select(F.col("id").alias("x"), F.col("s").alias("sx")), "x").join(
-        sets.select(F.col("id").alias("p"), F.col("s").alias("sp")), "p")
+    # Few pairs go to the sets of x and few small sets of p to both; otherwise these are shuffled.
+    few = pairs.limit(MAX_BROADCAST_PAIRS + 1).count() <= MAX_BROADCAST_PAIRS
+    both = sets.select(F.col("id").alias("x"), F.col("s").alias("sx")).join(F.broadcast(pairs) if few else pairs, "x")
+    other = rows_in(sets.select(F.col("id").alias("p"), F.col("s").alias("sp"), "m"), pairs, "p")
+    small = (other.agg(F.sum("m")).first()[0] or 0) <= MAX_BROADCAST_ELEMENTS
+    both = both.join(F.broadcast(other.drop("m")) if small else other.drop("m"), "p")
     total = F.size("sx") + F.size("sp")
     if differences:
         both = both.withColumn("e", F.concat(F.array_except("sx", "sp"), F.array_except("sp", "sx")))
@@ -259,7 +265,7 @@ def near_components(
 
     def sets_of(*ids) -> DataFrame:
         wanted = reduce(DataFrame.union, [d.select(F.col(c).alias("doc_id")) for d, c in ids]).distinct()
-        found = store.keep(rows_in(texts, wanted).mapInArrow(partial(_sets, k=k), "id long, h1 long, s array<long>"))
+        found = store.keep(rows_in(texts, wanted).mapInArrow(partial(_sets, k=k), "id long, h1 long, s array<long>, m long"))
         if found.groupBy("id").count().filter("count > 1").isEmpty():
             return found
         return found.join(reps.select(F.col("doc_id").alias("id"), "h1"), ["id", "h1"], "left_semi").dropDuplicates(["id"])
@@ -327,7 +333,8 @@ def near_components(
             & _odd(F.col("l.b"), F.col("r.b"), F.col("l.n"), F.col("r.n"), num, den)
             & (F.abs(F.col("l.far") - F.col("r.far")) <= F.lit((den - num) / den + 1e-9)))
         pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct().join(done, ["p", "x"], "left_anti")
-        leaves = store.keep(_measure(_candidates(pairs, counts, num, den), sets, num, den))
+        pairs = store.keep(_candidates(pairs, counts, num, den))
+        leaves = store.keep(_measure(pairs, sets, num, den))
         links, done = links.union(_links(leaves)), done.union(leaves.select("p", "x"))
         if level == levels:
             break
