@@ -13,9 +13,12 @@ is reached exactly when ``d * (1 + t) <= (1 - t) * (|x| + |y|)``, and then
    fragment, and a fragment's content is a region.  Points whose size window
    reaches into the next size class are replicated there.  At similarities
    below ``FRAGMENTS_FROM`` a region is a single shingle instead, and a point
-   is replicated to its first ``|x| - ceil(t * |x|) + 1`` in hash order: a
-   linked point lacks fewer of its shingles.  Regions of up to
-   ``PAIRS`` points are compared pairwise.
+   is replicated to its first ``|x| - ceil(t * |x|) + 1`` in an order that is
+   the same for all points: a linked point lacks fewer of its shingles.  The
+   order is that of the hashes, after ``ROUNDS`` corrections: shingles whose
+   regions got more than ``OFTEN`` points (shared passages) go last, and the
+   points that had them are replicated anew.  Regions of up to ``PAIRS``
+   points are compared pairwise.
 3. *Pivots.*  A larger region gets as pivot its most central member, the one
    that shares most regions with others.  All regions of one pivot form its
    cell; members that may be linked to it are compared with it.  Regions of at
@@ -56,6 +59,9 @@ from sedimenta.llm.store import Store, column, rows_in
 
 # Below this similarity fragments get short and many: single shingles name the first regions.
 FRAGMENTS_FROM = (85, 100)
+# Shingles of larger regions go last in the order, in so many rounds.  The order steers work, never the
+# result: of more than MAX_LATE such shingles (8 MB) those of the largest regions go last.
+OFTEN, ROUNDS, MAX_LATE = 64, 3, 1_000_000
 # Regions of so many points are compared pairwise at once.
 PAIRS = 8
 # Frequent elements of a cell that are put last, at most.
@@ -94,14 +100,26 @@ def _document_sets(w: wd.Words, k: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def _first(s: np.ndarray, num: int, den: int, late: np.ndarray) -> np.ndarray:
+    """The first shingles of a set: by hash, those in the sorted ``late`` last."""
+    if len(late):
+        is_late = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
+        s = np.concatenate((s[~is_late], s[is_late]))
+    return s[:len(s) + 1 - -(-len(s) * num // den)]
+
+
+def _by_shingles(num: int, den: int) -> bool:
+    return num * FRAGMENTS_FROM[1] < den * FRAGMENTS_FROM[0]
+
+
 def _signatures(s: np.ndarray, num: int, den: int, known: dict) -> np.ndarray:
     """Region keys of one set: a hash of each fragment that holds shingles, or
     its first shingles."""
     n = len(s)
     if n == 0:
         return s
-    if num * FRAGMENTS_FROM[1] < den * FRAGMENTS_FROM[0]:
-        return s[:n + 1 - -(-n * num // den)]
+    if _by_shingles(num, den):
+        return _first(s, num, den, s[:0])
     most = n * (den - num) // num
     if known.get("upto", 0) < n:
         known["upto"] = 2 * n
@@ -158,6 +176,19 @@ def _fingerprints(batches, k: int, num: int, den: int):
             ], ["doc_id", "n", "h1", "h2", "sigs", "b", "v"])
 
 
+def _later(batches, k: int, num: int, den: int, late: np.ndarray):
+    """Region keys in the order that has ``late`` last."""
+    for batch in batches:
+        for part, w in wd.slices(batch):
+            found = list(_document_sets(w, k))
+            sigs = [_first(s, num, den, late) if len(s) else s for s in found]
+            yield pa.RecordBatch.from_arrays([
+                part.column(0), pa.array([len(s) for s in found], pa.int64()),
+                pa.array(wd.signed(np.array([wd.mix(s).sum(dtype=np.uint64) for s in found], np.uint64))),
+                wd.lists(wd.signed(np.concatenate(sigs)), np.cumsum([len(x) for x in sigs]), pa.int64()),
+            ], ["doc_id", "n", "h1", "sigs"])
+
+
 def _sets(batches, k: int):
     for batch in batches:
         for part, w in wd.slices(batch):
@@ -254,8 +285,28 @@ def near_components(
     copies = own.groupBy("f").agg(F.min("doc_id").alias("rep"))
     classes = store.keep(own.join(copies, "f").select("doc_id", "rep", "f.n", "f.h1", "f.h2"))
     reps = classes.filter("doc_id = rep").select("doc_id", "n", "h1", "h2")
-    rows = points.join(reps, ["doc_id", "n", "h1", "h2"], "left_semi").select(
-        F.explode("sigs").alias("key"), F.col("doc_id").alias("x"), "n")
+    signed, late = [points.join(reps, ["doc_id", "n", "h1", "h2"], "left_semi").select("doc_id", "n", "sigs")], np.zeros(0, np.int64)
+
+    def keyed_rows() -> DataFrame:
+        return reduce(DataFrame.union, signed).select(F.explode("sigs").alias("key"), F.col("doc_id").alias("x"), "n")
+
+    for _ in range(ROUNDS if _by_shingles(num, den) else 0):
+        # Points none of whose keys moved have the same first shingles in the new order.
+        often = keyed_rows().groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > OFTEN)
+        known = docs.sparkSession.createDataFrame(pa.table({"key": late}))
+        often = store.keep(often.join(F.broadcast(known), "key", "left_anti").select("key", F.floor(F.log2("size")).alias("level")))
+        levels_found = dict(often.groupBy("level").count().collect())
+        fitting = [v for v in levels_found if sum(c for u, c in levels_found.items() if u >= v) <= MAX_LATE - len(late)]
+        if not fitting:
+            break
+        often = often.filter(F.col("level") >= min(fitting)).select("key")
+        late = np.concatenate((late, often.toArrow().column("key").to_numpy()))
+        moved = store.keep(keyed_rows().join(F.broadcast(often), "key").select(F.col("x").alias("doc_id")).distinct())
+        again = rows_in(texts, moved).mapInArrow(
+            partial(_later, k=k, num=num, den=den, late=np.sort(wd.unsigned(late))), "doc_id long, n long, h1 long, sigs array<long>")
+        again = store.keep(again.join(reps, ["doc_id", "n", "h1"], "left_semi").select("doc_id", "n", "sigs"))
+        signed = [*(rows_in(part, moved, how="left_anti") for part in signed), again]
+    rows = keyed_rows()
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     regions = store.keep(rows.join(shared, "key").select("key", "x", "n", "size"))
     score = store.keep(regions.groupBy("x").agg(F.sum("size").alias("score")))

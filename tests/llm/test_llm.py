@@ -73,9 +73,12 @@ def brute_components(rows, k, num):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("k,num,leaf,pairs", [(3, 90, 512, 8), (5, 80, 512, 8), (3, 90, 1, 1)])
-def test_jaccard_components(spark, docs, monkeypatch, k, num, leaf, pairs):
+@pytest.mark.parametrize("k,num,leaf,pairs,often,most", [
+    (3, 90, 512, 8, 64, 10**6), (5, 80, 512, 8, 64, 10**6), (3, 90, 1, 1, 64, 10**6), (5, 80, 4, 2, 3, 10**6), (5, 80, 4, 2, 3, 40)])
+def test_jaccard_components(spark, docs, monkeypatch, k, num, leaf, pairs, often, most):
     monkeypatch.setattr(jaccard, "PAIRS", pairs)
+    monkeypatch.setattr(jaccard, "OFTEN", often)
+    monkeypatch.setattr(jaccard, "MAX_LATE", most)
     rng, extra = random.Random(1), []
     base = [f"w{rng.randrange(900)}" for _ in range(120)]
     for i in range(60):
