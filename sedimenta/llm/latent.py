@@ -2,6 +2,7 @@
 
 The benchmark is the query set: its items, their words (``Lexicon``) and their
 latent vectors are sent to every task, in size a matter of the benchmark alone.
+An item longer than a passage is a query per passage of its own.
 Documents are only ever read in partitions.
 
 1. *Words.*  Every text is cut into blocks of ``BLOCK`` words; two neighbouring
@@ -14,8 +15,9 @@ Documents are only ever read in partitions.
    of ``A.T @ (A @ omega)`` for a random ``omega``; the parts are summed by word.
    From this sketch of the Gram matrix come its leading singular vectors (one
    pass, Nystrom form).
-4. *Candidates.*  Passages and items are projected; a passage is a candidate
-   for an item at cosine ``COSINE`` with at least ``ENERGY`` of the item's length.
+4. *Candidates.*  Passages and queries are projected; a passage is a candidate
+   for an item at cosine ``COSINE`` with at least ``ENERGY`` of the length of one
+   of its queries.
 5. *Checks.*  Around a candidate passage the longest common subsequence of
    words with the item must cover ``COPIED`` of the item; from ``PARAPHRASED``
    on it does if the item's answer (its last sentence) is mostly there too.
@@ -37,7 +39,7 @@ from sedimenta.llm.store import Store, column, rows_in
 
 BLOCK = 24
 STOP = 0.05
-# Singular vectors for each item, and at most.
+# Singular vectors for each query, and at most.
 RANK = 1.0
 MOST_RANK = 512
 SPARE = 16
@@ -46,14 +48,16 @@ ENERGY = 0.25
 COPIED = 0.8
 PARAPHRASED = 0.6
 ANSWERED = 0.5
-# Items are compared in groups of so many.
+# Queries are compared in groups of so many.
 ITEMS = 4096
 
 
 class Lexicon:
     """Words of the benchmark that tell items apart.
 
-    ``known`` are the sorted hashes, ``items`` the word numbers of each item.
+    ``known`` are the sorted hashes, ``queries`` the word numbers of each query
+    and ``item`` the item it is cut from.  Queries of an item have the length of
+    a passage, start a block apart and reach its end.
     """
 
     def __init__(self, texts: list[str]):
@@ -64,10 +68,17 @@ class Lexicon:
         seen = np.concatenate([np.unique(h) for h in hashed] or [np.zeros(0, np.uint64)])
         word, times = np.unique(seen, return_counts=True)
         common = word[times > max(2, STOP * len(texts))]
-        kept = [h[~np.isin(h, common)] for h in hashed]
-        kept = [k if len(k) else h for k, h in zip(kept, hashed)]
-        self.known = np.unique(np.concatenate(kept or [np.zeros(0, np.uint64)]))
-        self.items = [np.unique(np.searchsorted(self.known, k)) for k in kept]
+        rare = [~np.isin(h, common) for h in hashed]
+        rare = [r if r.any() else ~r for r in rare]
+        self.known = np.unique(np.concatenate([h[r] for h, r in zip(hashed, rare)] or [np.zeros(0, np.uint64)]))
+        self.queries, self.item = [], []
+        for i, (h, r) in enumerate(zip(hashed, rare)):
+            last = max(0, len(h) - 2 * BLOCK)
+            for at in [*range(0, last, BLOCK), last]:
+                own = slice(at, at + 2 * BLOCK)
+                if r[own].any():
+                    self.queries.append(np.unique(np.searchsorted(self.known, h[own][r[own]])))
+                    self.item.append(i)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Number of each word, -1 for words outside."""
@@ -156,7 +167,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(batches, shared):
-    basis, items, length = shared.value
+    basis, queries, length, item_of = shared.value
     smallest = length[length > 0].min() * ENERGY if (length > 0).any() else np.inf
     for batch in batches:
         doc, start, item, cosine = [], [], [], []
@@ -172,14 +183,14 @@ def _candidates(batches, shared):
             passage[joined] += own[joined + 1]
             norm = np.sqrt((passage**2).sum(1))
             may = np.flatnonzero(norm >= smallest)
-            for low in range(0, len(items), ITEMS):
-                q, size = items[low:low + ITEMS], length[low:low + ITEMS]
+            for low in range(0, len(queries), ITEMS):
+                q, size = queries[low:low + ITEMS], length[low:low + ITEMS]
                 dot = passage[may] @ q.T
                 fits = (dot >= COSINE * norm[may][:, None] * size) & (dot >= ENERGY * size**2) & (size > 0)
                 p, i = np.nonzero(fits)
                 doc.append(at + r[may[p]])
                 start.append(b[may[p]] * BLOCK)
-                item.append(low + i)
+                item.append(item_of[low + i])
                 cosine.append(dot[p, i] / (norm[may[p]] * size[i]))
         if doc:
             yield pa.RecordBatch.from_arrays([
@@ -241,14 +252,14 @@ def _checked(batches, shared):
 
 
 def _basis(tokens: DataFrame, lexicon: Lexicon, store: Store) -> tuple[np.ndarray, np.ndarray]:
-    """Word weights times singular vectors, and the projected items."""
+    """Word weights times singular vectors, and the projected queries."""
     spark, n = tokens.sparkSession, len(lexicon.known)
     counted = tokens.mapInArrow(partial(_document_frequency, n_words=n), "word int, df long")
     counted = counted.groupBy("word").agg(F.sum("df").alias("df")).toPandas()
     df = np.ones(n)
     df[counted["word"].to_numpy()] = counted["df"].to_numpy()
     weight = 1 / np.sqrt(df)
-    rank = min(n, MOST_RANK, int(RANK * len(lexicon.items)) + SPARE)
+    rank = min(n, MOST_RANK, int(RANK * len(lexicon.queries)) + SPARE)
     omega = np.random.Generator(np.random.PCG64(7)).standard_normal((n, min(n, rank + SPARE)))
     parts = tokens.mapInArrow(
         partial(_sketch, shared=spark.sparkContext.broadcast((weight, omega))), "chunk int, part int, z binary")
@@ -269,8 +280,8 @@ def _basis(tokens: DataFrame, lexicon: Lexicon, store: Store) -> tuple[np.ndarra
     half = z @ (side[:, good] / np.sqrt(value[good]))
     vectors, _, _ = np.linalg.svd(half, full_matrices=False)
     basis = (vectors[:, :rank] * weight[:, None]).astype(np.float32)
-    items = np.stack([basis[i].sum(0) for i in lexicon.items])
-    return basis, items
+    queries = np.stack([basis[q].sum(0) for q in lexicon.queries])
+    return basis, queries
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -294,9 +305,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lexicon = Lexicon([t for _, t in queries])
     tokens = store.keep(texts.mapInArrow(
         partial(_tokens, shared=spark.sparkContext.broadcast(lexicon)), "doc_id long, place array<int>, word array<int>"))
-    basis, items = _basis(tokens, lexicon, store)
-    length = np.sqrt((items**2).sum(1))
-    shared = spark.sparkContext.broadcast((basis, items, length))
+    basis, projected = _basis(tokens, lexicon, store)
+    length = np.sqrt((projected**2).sum(1))
+    shared = spark.sparkContext.broadcast((basis, projected, length, np.array(lexicon.item)))
     found = store.keep(tokens.mapInArrow(
         partial(_candidates, shared=shared), "doc_id long, item int, start int, cosine double"))
     per_doc = store.keep(found.select("doc_id", "item", "start").distinct().groupBy("doc_id").agg(

@@ -321,6 +321,24 @@ def test_leaks(spark, docs):
     assert latent.leaks(df, bench.limit(0)).count() == 0 and latent.leaks(df.limit(0), bench).count() == 0
 
 
+def test_leaks_of_long_items(spark):
+    rng = random.Random(8)
+    draw = lambda n: [f"v{int(rng.paretovariate(0.3)) % 30000}" for _ in range(n)]
+    sizes = [38, 47, 48, 49, 72, 150, 300, 600, 1000]
+    items = [(k, draw(sizes[k % len(sizes)])) for k in range(90)]
+    docs = [(i, draw(rng.randrange(50, 400))) for i in range(600)]
+    planted = []
+    for n, (k, item) in enumerate(items):
+        w = draw(rng.randrange(1, 300))
+        at = rng.randrange(len(w) + 1)
+        planted.append((1000 + n, w[:at] + item + w[at:]))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs + planted], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.lcs_share for r in latent.leaks(df, bench).collect()}
+    assert [k for n, (k, _) in enumerate(items) if got.get((1000 + n, k)) != 1.0] == []
+    assert not [d for d, _ in got if d < 1000]
+
+
 def test_common_subsequence():
     rng = random.Random(6)
     for _ in range(50):
