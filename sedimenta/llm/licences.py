@@ -9,6 +9,7 @@ so most units have no candidate, and those that do only look up the bigrams.
 
 from __future__ import annotations
 
+import pkgutil
 import re
 from collections import Counter
 from functools import partial
@@ -21,7 +22,7 @@ from sedimenta.llm.store import column
 THRESHOLD = 0.8
 _WORD = re.compile(r"[^\W_]+")
 
-# Short notices and texts in common use.
+# Short notices and standard headers; whole texts are in licence_texts.
 TEMPLATES = {
     "MIT": [
         "Released under the MIT License.",
@@ -36,21 +37,6 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
         "with the License. You may obtain a copy of the License at",
     ],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-        "later version.",
-    ],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
-    "CC-BY-NC-4.0": [
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    ],
-    "CC-BY-4.0": [
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
@@ -59,8 +45,47 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met:",
     ],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met:",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        "Licensed under the Mozilla Public License, version 2.0.",
+    ],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense."],
 }
 
+# The GNU headers differ in the licence, its version and the mark before "either".
+_GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
+for _id, _kind, _version in (
+        ("GPL-1.0", "GPL", "1"), ("GPL-2.0", "GPL", "2"), ("GPL-3.0", "GPL", "3"), ("LGPL-2.1", "LGPL", "2.1"),
+        ("LGPL-3.0", "LGPL", "3"), ("AGPL-3.0", "AGPL", "3")):
+    _what = "library" if _id == "LGPL-2.1" else "program"
+    TEMPLATES[_id] = [f"This work is licensed under the {_GNU[_kind]}, version {_version}."] + [
+        f"This {w} is free software: you can redistribute it and/or modify it under the terms of the {_GNU[_kind]} as published "
+        f"by the Free Software Foundation, {either}" for w in dict.fromkeys((_what, "program")) for either in (
+            f"either version {_version} of the License, or (at your option) any later version.", f"version {_version} of the License.")]
+TEMPLATES["LGPL-2.0"] = [t.replace("Lesser", "Library").replace("2.1", "2") for t in TEMPLATES["LGPL-2.1"]]
+for _short, _long in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+        ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    for _version, _port in (("4.0", "International"), ("3.0", "Unported")):
+        TEMPLATES[f"CC-{_short}-{_version}"] = [
+            f"Licensed under CC {_short} {_version}.",
+            f"This work is licensed under a Creative Commons {_long} {_version} {_port} License."]
+WHOLE = (
+    "Apache-2.0", "Artistic-1.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0",
+    "ISC", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-1.1", "MPL-2.0", "Unlicense")
+for _id in WHOLE:
+    _text = pkgutil.get_data("sedimenta.llm", f"licence_texts/{_id}.txt").decode()
+    TEMPLATES.setdefault(_id, []).append(_text)
+    if "END OF TERMS AND CONDITIONS" in _text:
+        # Often copied without the advice that follows.
+        TEMPLATES[_id].append(_text[:_text.index("END OF TERMS AND CONDITIONS")])
+
 
 def normal_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
@@ -109,8 +134,12 @@ class Index:
         whole, paragraph, parts = [], [], 0
 
         def take(words):
-            for value, name in self.compare(words):
-                found[name] = max(value, found.get(name, 0.0))
+            # Versions and families share most of their words: the best of a unit stands for it.
+            reached = list(self.compare(words))
+            top = max(reached, default=(0.0,))[0]
+            for value, name in reached:
+                if value == top:
+                    found[name] = max(value, found.get(name, 0.0))
 
         for line in text.split("\n"):
             words = normal_words(line)
@@ -146,7 +175,7 @@ def licence_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
 
     ``licence`` is the best template's (ties: the first name), NULL with
     ``dice`` 0 where none reaches the threshold, as for NULL and empty texts;
-    ``licences`` lists all that do.  Rows are judged one by one, so repeated
+    ``licences`` lists the best of each unit that does.  Rows are judged one by one, so repeated
     rows and NULL ids are fine; other columns are ignored.
     """
     texts = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text"))

@@ -182,6 +182,25 @@ def test_licences(spark, docs):
     assert licences.licence_scan(docs.limit(0)).count() == 0
 
 
+def test_licence_versions_and_whole_texts():
+    index = licences.Index(licences.TEMPLATES, licences.THRESHOLD)
+    header = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} License as published "
+              "by the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+    for name, text in {
+            "GPL-2.0": header.format("program", "General Public", "2"), "GPL-3.0": header.format("program", "General Public", "3"),
+            "LGPL-2.1": header.format("library", "Lesser General Public", "2.1"),
+            "LGPL-3.0": header.format("program", "Lesser General Public", "3"),
+            "AGPL-3.0": header.format("program", "Affero General Public", "3"),
+            "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+            "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License."}.items():
+        assert index.scan(text) == {name: 1.0}
+    for name in licences.WHOLE:
+        found = index.scan((Path(licences.__file__).parent / f"licence_texts/{name}.txt").read_text())
+        assert found[name] == 1.0, name
+    gone = "Some lines of our own stand here.\n\n" + licences.TEMPLATES["MIT"][-1].split("\n\n", 1)[1]
+    assert "MIT" not in index.scan(gone.split("\n")[0])
+
+
 def test_html():
     page = ("<html><head><title>t</title><style>p{}</style><script>var a='</p>';</script></head><body><nav><ul><li><a href=/a>Home</a></li></ul></nav>"
             "<article><h1>Big &amp; small</h1><p>One  two<br>three.<p>Four &eacute; five &lt;six.</article><footer>&copy; me</footer></body></html>")
