@@ -34,7 +34,9 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|data-part)\s*=\s*(?:\"([^\"]*)\"|'([^
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _BLANK = re.compile(r"\s+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-SILENT = frozenset("script style template noscript title svg iframe object textarea select".split())
+# No text of these counts; the first are raw text up to their closing tag, the others nest.
+RAW = frozenset("script style noscript title iframe textarea".split())
+SILENT = RAW | frozenset("template svg object select".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub "
     "sup time tt u var".split())
@@ -96,8 +98,7 @@ def blocks(page: str) -> list[tuple[str, tuple, tuple, float, str | None]]:
         tag, closing = m[2].lower(), bool(m[1])
         if tag in SILENT:
             if not closing:
-                close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = close.end() if close else end
+                at = _after(page, at, tag, m[3])
                 buffer.append(" " if tag in ("textarea", "select") else "")
             continue
         if tag == "br" or tag == "img" or tag == "wbr":
@@ -134,6 +135,30 @@ def blocks(page: str) -> list[tuple[str, tuple, tuple, float, str | None]]:
     return out
 
 
+def _after(page: str, at: int, tag: str, attributes: str) -> int:
+    """Where a silent element that opens before ``at`` ends."""
+    if tag in RAW:
+        close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+        return close.end() if close else len(page)
+    if tag in ("svg", "object") and attributes.endswith("/"):
+        return at
+    begin, depth = at, 1
+    while depth:
+        m = _TAG.search(page, at)
+        if m is None:
+            # Never closed: only the tag is left out.
+            return begin
+        at = m.end()
+        inner = (m[2] or "").lower()
+        if inner in RAW and not m[1] and not (tag == "svg" and m[3].endswith("/")):
+            at = _after(page, at, inner, m[3])
+        elif inner == tag and m[1]:
+            depth -= 1
+        elif inner == tag and not (m[3].endswith("/") and tag in ("svg", "object")):
+            depth += 1
+    return at
+
+
 _STOP = frozenset("ul ol dl table article section div main aside nav header footer form body td th".split())
 
 

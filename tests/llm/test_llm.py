@@ -209,6 +209,19 @@ def test_html():
     assert htmltext.blocks("") == [] and htmltext.blocks("<p") == [] and htmltext.blocks("a < b <!-- x")[0][0] == "a < b"
 
 
+def test_html_silent_elements():
+    def read(body):
+        return [b[0] for b in htmltext.blocks(f"<body><p>One.</p>{body}<p>Two.</p></body>")]
+
+    for body in ('<svg class="x"/>', "<svg />", '<object data="a.swf">', '<object data="a.swf"/>', "<svg><path d='x'>", "<template>",
+                 "<svg><svg>in</svg>out</svg>", "<object><object>in</object>out</object>", "<svg><svg/>in</svg>",
+                 "<template><p>in</p><template>in</template><p>out</p></template>", "<object><script>'</object>'</script>in</object>",
+                 "<object><!-- </object> -->in</object>", "<script>'<svg>'</script>", "<svg><path/>in</svg>", "<svg><title/>in</svg>"):
+        assert read(body) == ["One.", "Two."], body
+    assert read("<script>var a = 1;") == ["One."]
+    assert read('<svg/><p>Mid.</p><svg><title>t</title></svg>') == ["One.", "Mid.", "Two."]
+
+
 def test_html_held_out_pages(spark):
     pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").limit(60).collect()]
     chain = htmltext.train(pages)
