@@ -1,10 +1,12 @@
 """Operator 4: licence scans by the Dice coefficient over word bigrams.
 
-Texts are normalised (lower case, letters and digits only).  Every line, every
-paragraph (between blank lines) and the whole text is a unit; its bigrams are
-compared as multisets with those of the templates.  With coefficient at least
-t a template's size lies between t / (2 - t) and (2 - t) / t times the unit's,
-so most units have no candidate, and those that do only look up the bigrams.
+Texts are normalised (lower case, letters and digits only).  Every window of
+consecutive words, over line and paragraph breaks, is compared with the
+templates by multisets of bigrams.  With coefficient at least t a window has
+t / (2 - t) to (2 - t) / t times the template's bigrams and at least the former
+number in common; so it holds one of any set that is larger than the rest, and
+texts without such rare bigrams are not looked at further.  Of templates that
+reach the threshold at one place, the one furthest above it names the licence.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import re
 from collections import Counter
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -91,67 +94,104 @@ def normal_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+# Words of notices that name no licence, and the most words of a notice.
+GENERIC = frozenset(
+    "a an and are available be distributed in international is it licence license licensed of program project released "
+    "software terms the this under unported v version was work".split())
+NOTICE = 20
+
+
 class Index:
-    """Templates by bigram, with the sizes a unit may have."""
+    """Templates by bigram, with the bigrams of which a match has one at least."""
 
     def __init__(self, templates: dict[str, list[str]], threshold: float):
-        self.threshold, self.rows, self.by_bigram = threshold, [], {}
+        self.threshold, self.rows, self.number, self.rare, bags = threshold, [], {}, {}, []
         for name, texts in sorted(templates.items()):
             for text in texts:
                 words = normal_words(text)
                 bag = Counter(zip(words, words[1:]))
-                n, size = len(self.rows), sum(bag.values())
-                self.rows.append((name, size))
-                for b, c in bag.items():
-                    self.by_bigram.setdefault(b, []).append((n, c))
-        self.low = {}
-        bound = threshold / (2 - threshold)
-        top = max((s for _, s in self.rows), default=0)
-        self.sizes = {
-            n: {i for i, (_, s) in enumerate(self.rows) if s >= bound * n - 1e-9 and n >= bound * s - 1e-9}
-            for n in range(1, int(top / bound) + 2)}
-
-    def compare(self, words: list[str]):
-        """(coefficient, licence) of each template that reaches the threshold."""
-        size = len(words) - 1
-        allowed = self.sizes.get(size)
-        if not allowed:
+                size = sum(bag.values())
+                if not size:
+                    continue
+                least = int(np.ceil(threshold * size / (2 - threshold) - 1e-9))
+                names = frozenset(words) - GENERIC if len(words) <= NOTICE else frozenset()
+                left = size - least
+                for b in sorted(bag, key=lambda b: (-len(b[0]) - len(b[1]), b)):
+                    self.rare.setdefault(b, []).append(len(self.rows))
+                    left -= bag[b]
+                    if left < 0:
+                        break
+                for b in bag:
+                    self.number.setdefault(b, len(self.number))
+                self.rows.append((name, size, least, names))
+                bags.append(bag)
+        self.count = np.zeros((len(bags), len(self.number)), np.int16)
+        for row, bag in zip(self.count, bags):
+            for b, c in bag.items():
+                row[self.number[b]] = c
+
+    def windows(self, n: int, words: list[str], place: np.ndarray, number: np.ndarray):
+        """(margin, coefficient, licence, start, end) of windows that reach the
+        threshold; a better one that overlaps may leave lesser ones out."""
+        name, size, least, names = self.rows[n]
+        t = self.threshold
+        hit = self.count[n][number] > 0
+        h, g = place[hit], number[hit]
+        if len(h) < least:
             return
-        common = Counter()
-        for b, c in Counter(zip(words, words[1:])).items():
-            for n, m in self.by_bigram.get(b, ()):
-                if n in allowed:
-                    common[n] += min(c, m)
-        for n, both in common.items():
-            name, other = self.rows[n]
-            value = 2 * both / (size + other)
-            if value >= self.threshold:
-                yield value, name
-
-    def scan(self, text: str):
-        """Best licence, its coefficient, and all licences found in a text."""
-        found = {}
-        whole, paragraph, parts = [], [], 0
-
-        def take(words):
-            # Versions and families share most of their words: the best of a unit stands for it.
-            reached = list(self.compare(words))
-            top = max(reached, default=(0.0,))[0]
-            for value, name in reached:
-                if value == top:
-                    found[name] = max(value, found.get(name, 0.0))
-
-        for line in text.split("\n"):
-            words = normal_words(line)
-            if words:
-                take(words)
-                paragraph += words
-            elif paragraph:
-                take(paragraph)
-                whole, paragraph, parts = whole + paragraph, [], parts + 1
-        take(paragraph)
-        if parts:
-            take(whole + paragraph)
+        # A hit counts from start a on if as many equal ones as the template has lie not all behind a.
+        order = np.argsort(g, kind="stable")
+        at = np.arange(len(g))
+        fresh = np.concatenate(([True], np.diff(g[order]) != 0))
+        rank = at - np.maximum.accumulate(np.where(fresh, at, 0))
+        cap = self.count[n][g[order]].astype(np.int64)
+        full = rank >= cap
+        earlier = np.full(len(h), -1)
+        earlier[order[full]] = order[(at - cap)[full]]
+        most = int(size * (2 - t) / t + 1e-9)
+        starts = np.flatnonzero(np.searchsorted(h, h + most) - at >= least)
+        ends = np.searchsorted(h, h + 2 * most)
+        i, best, until = 0, t, -1
+        while i < len(starts):
+            a = starts[i]
+            if h[a] >= until:
+                best = t
+            common = np.cumsum(earlier[a:ends[a]] < a)
+            length = h[a:ends[a]] - h[a] + 1
+            value = 2 * common / (length + size)
+            bound = value.max()
+            reached = np.flatnonzero(value >= max(t, best) - 1e-12)
+            for j in reached[np.argsort(-value[reached], kind="stable")]:
+                # What is shorter than a notice has to name the licence.
+                if length[j] >= size or names <= set(words[h[a]:h[a] + length[j] + 1]):
+                    yield 2 * common[j] - t * (length[j] + size), value[j], name, h[a], h[a] + length[j]
+                    best, until = value[j], h[a] + length[j]
+                    break
+            # A start d words on gains at most the factor 1 + d / (least + size).
+            d = min(most, (best / bound - 1) * (least + size) - 1e-6)
+            # Beyond the best window only the threshold counts.
+            d = min(d, max(until - h[a], (t / bound - 1) * (least + size) - 1e-6)) if until > h[a] else d
+            i = max(i + 1, int(np.searchsorted(h[starts], h[a] + d)))
+
+    def scan(self, text: str) -> dict[str, float]:
+        """The licences found in a text, each with its best coefficient."""
+        words = normal_words(text)
+        pairs = list(zip(words, words[1:]))
+        if self.rare.keys().isdisjoint(pairs):
+            return {}
+        number = np.array([self.number.get(b, -1) for b in pairs])
+        place = np.flatnonzero(number >= 0)
+        number = number[place]
+        matches = []
+        for n in sorted({n for b in pairs if b in self.rare for n in self.rare[b]}):
+            if self.rows[n][2] <= len(pairs):
+                matches += self.windows(n, words, place, number)
+        found, kept = {}, []
+        for m in sorted(matches, key=lambda m: (-m[0], m[2:])):
+            margin, value, name, start, end = m
+            if not any(k[0] > margin + 1e-9 and k[2] != name and k[3] < end and start < k[4] for k in kept):
+                kept.append(m)
+                found[name] = max(float(value), found.get(name, 0.0))
         return found
 
 
@@ -175,7 +215,7 @@ def licence_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None,
 
     ``licence`` is the best template's (ties: the first name), NULL with
     ``dice`` 0 where none reaches the threshold, as for NULL and empty texts;
-    ``licences`` lists the best of each unit that does.  Rows are judged one by one, so repeated
+    ``licences`` lists the best of each place that does.  Rows are judged one by one, so repeated
     rows and NULL ids are fine; other columns are ignored.
     """
     texts = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text"))

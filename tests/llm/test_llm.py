@@ -201,6 +201,38 @@ def test_licence_versions_and_whole_texts():
     assert "MIT" not in index.scan(gone.split("\n")[0])
 
 
+def test_licences_inside_lines():
+    index, rng = licences.Index(licences.TEMPLATES, licences.THRESHOLD), random.Random(5)
+    assert index.scan("Our tool is small and fast. Released under the MIT License. It reads files.") == {"MIT": 1.0}
+    assert index.scan("We made it. This work is licensed under\nthe GNU General\n\nPublic License, version 2. Enjoy.") == {"GPL-2.0": 1.0}
+    assert index.scan("This project is licensed under the Fancy License. Read on.") == {}
+    both = "One part: " + licences.TEMPLATES["MIT"][2] + " The other part is licensed under CC BY-SA 4.0, they said."
+    assert index.scan(both) == {"MIT": 1.0, "CC-BY-SA-4.0": 1.0}
+    prose = lambda n: " ".join(rng.choice("of the in a file text we that is to and software".split()) for _ in range(n))
+    for name in licences.WHOLE:
+        text = " ".join(licences.TEMPLATES[name][-1].split())
+        assert index.scan(f"{prose(90)} {text} {prose(90)}")[name] == 1.0, name
+
+
+def test_licence_windows_against_brute_force():
+    rng = random.Random(6)
+    templates = {"A": ["p q r p q s t u v w x y z p q r s a b c d e"], "B": ["k l m n k l m n o k l k l m n a a a a b b c l m"]}
+    for name, texts in templates.items():
+        index = licences.Index({name: texts}, 0.6)
+        base = texts[0].split()
+        want_bag = Counter(zip(base, base[1:]))
+        for _ in range(60):
+            near = [w if rng.random() > 0.12 else rng.choice(base) for w in base if rng.random() > 0.08]
+            w = [rng.choice(base + ["f"] * 9) for _ in range(30)] + near + [rng.choice(base + ["f"] * 9) for _ in range(30)]
+            want = 0.0
+            for i in range(len(w)):
+                for j in range(i + 2, min(len(w), i + 60) + 1):
+                    bag = Counter(zip(w[i:j], w[i + 1:j]))
+                    want = max(want, 2 * sum((bag & want_bag).values()) / (j - i - 1 + len(base) - 1))
+            got = index.scan(" ".join(w)).get(name, 0.0)
+            assert got == pytest.approx(want if want >= 0.6 else 0.0)
+
+
 def test_html():
     page = ("<html><head><title>t</title><style>p{}</style><script>var a='</p>';</script></head><body><nav><ul><li><a href=/a>Home</a></li></ul></nav>"
             "<article><h1>Big &amp; small</h1><p>One  two<br>three.<p>Four &eacute; five &lt;six.</article><footer>&copy; me</footer></body></html>")
