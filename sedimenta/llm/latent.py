@@ -237,15 +237,16 @@ def _checked(batches, shared):
                 reach = max(BLOCK, len(own))
                 context = words[max(0, c["start"] - reach):c["start"] + 2 * BLOCK + reach]
                 value = common_subsequence(own, context) / len(own)
-                if value < PARAPHRASED or value <= best.get(c["item"], (0, 0))[0]:
+                if value < PARAPHRASED or value < best.get(c["item"], (0, 0))[0]:
                     continue
-                best[c["item"]] = (value, common_subsequence(last, context) / max(1, len(last)))
-            for k, (value, answered) in sorted(best.items()):
+                answered = common_subsequence(last, context) / max(1, len(last))
                 if value >= COPIED or answered >= ANSWERED:
-                    doc.append(i)
-                    item.append(k)
-                    share.append(round(value, 6))
-                    told.append(round(answered, 6))
+                    best[c["item"]] = max(best.get(c["item"], (0, 0)), (value, answered))
+            for k, (value, answered) in sorted(best.items()):
+                doc.append(i)
+                item.append(k)
+                share.append(round(value, 6))
+                told.append(round(answered, 6))
         yield pa.RecordBatch.from_arrays([
             batch.column(0).take(pa.array(doc, pa.int32())), pa.array(item, pa.int32()), pa.array(share, pa.float64()),
             pa.array(told, pa.float64())], ["doc_id", "item", "lcs_share", "answer_share"])

@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import types
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -403,6 +405,16 @@ def test_leaks_of_long_items(spark):
     assert not [d for d, _ in got if d < 1000]
 
 
+def test_each_passage_of_a_document_is_checked():
+    item = [f"i{k}" for k in range(15)] + ["asked?"] + [f"answer{k}" for k in range(4)]
+    first, second = item[:15] + ["x"] * 5, item[6:]  # shares 0.75 and 0.7; the whole answer is in the second only
+    text = " ".join(first + ["y"] * 200 + second)
+    found = pa.array([[{"item": 0, "start": 0}, {"item": 0, "start": 216}]], pa.list_(pa.struct([("item", pa.int32()), ("start", pa.int32())])))
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text]), found], ["doc_id", "text", "found"])
+    shared = types.SimpleNamespace(value=[" ".join(item)])
+    assert next(latent._checked([batch], shared)).to_pylist() == [{"doc_id": 7, "item": 0, "lcs_share": 0.7, "answer_share": 1.0}]
+
+
 def test_common_subsequence():
     rng = random.Random(6)
     for _ in range(50):
