@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from sedimenta.llm import (
-    alignment, credentials, htmltext, jaccard, latent, licences, linequality, merkle, mixing, outliers, substring, unigram)
+    alignment, credentials, htmltext, jaccard, latent, licences, linequality, merkle, mixing, multiindex,
+    outliers, substring, unigram)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,10 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle.manifest(_read(spark, sf_dir, "documents"))
 
 
+def op12_embedding_near_dedup(spark, sf_dir):
+    return multiindex.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op13_cross_tokenizer_alignment(spark, sf_dir):
     return alignment.alignment(_read(spark, sf_dir, "documents"))
 
@@ -64,7 +69,7 @@ def op13_cross_tokenizer_alignment(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_substring_dedup, op3_secret_scans, op4_licence_scans, op5_html_extraction, op6_token_counts,
     op7_source_mixing, op8_quality_rules, op9_quality_classifier, op10_benchmark_decontamination, op11_merkle_manifest,
-    op13_cross_tokenizer_alignment)}
+    op12_embedding_near_dedup, op13_cross_tokenizer_alignment)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {"op7_source_mixing": mixing.ORACLE, "op11_merkle_manifest": merkle.ORACLE}
 if corpus_pipeline.ORACLE_SQL:

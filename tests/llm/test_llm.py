@@ -457,4 +457,4 @@ def test_bounded_calls():
     for word in ("localCheckpoint", "crossJoin", ".rdd", "F.udf", "toLocalIterator"):
         assert not [f for f, s in text.items() if word in s]
     assert {f for f, s in text.items() if "toPandas" in s or ".collect()" in s} == {"htmltext.py", "latent.py", "linequality.py"}
-    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 13
+    assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 14
