@@ -85,25 +85,22 @@ def _up(nodes: str) -> str:
 def built(nodes: DataFrame, level: int, span: int, store: Store) -> tuple[DataFrame, DataFrame]:
     """Node rows of ``level`` and the nodes ``span`` levels up.
 
-    ``nodes(tree, n, pos, hash)``: ``n`` nodes in this tree on this level.  A
-    tree with at most ``2 ** span`` of them ends here.  A group has at most
-    ``2 ** span`` digests.
+    ``nodes(tree, n, pos, hash)``: ``n`` nodes in this tree on this level, and
+    columns that go with them.  A tree with at most ``2 ** span`` nodes ends
+    here.  A group has at most ``2 ** span`` of them.
     """
-    steps = F.expr(f"least({span}, if(n <= 1, 0, length(bin(n - 1))))")
+    more = [c for c in nodes.columns if c not in ("tree", "n", "pos", "hash")]
     groups = nodes.groupBy("tree", F.shiftright("pos", span).alias("block")).agg(
-        F.max("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "hash"))), lambda x: x["hash"]).alias("low"))
-    groups = groups.withColumn("steps", steps).withColumn("levels", F.expr(
-        f"aggregate(sequence(1, steps + 1), array(low), (a, i) -> if(i > steps, a, concat(a, array({_up('element_at(a, -1)')}))))"))
-    groups = store.keep(groups.select("tree", "block", "n", "steps", "levels"))
+        F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "hash", *more))).alias("own"))
+    groups = groups.withColumn("steps", F.expr(f"least({span}, if(n <= 1, 0, length(bin(n - 1))))")).withColumn("levels", F.expr(
+        f"aggregate(sequence(1, steps + 1), array(own.hash), (a, i) -> if(i > steps, a, concat(a, array({_up('element_at(a, -1)')}))))"))
+    groups = store.keep(groups.withColumn("done", F.expr(f"n <= {1 << span}")))
     way = ("transform(slice(levels, 1, steps), (row, j) -> struct("
            "get(row, shiftright(k, j) ^ 1) as hash, (shiftright(k, j) & 1) = 1 as before))")
-    rows = groups.select("tree", "block", "n", F.explode(F.expr(
-        f"transform(levels[0], (h, k) -> struct(k as k, h as hash, {way} as way))")).alias("x"))
-    rows = rows.select(
-        "tree", F.lit(level).alias("level"), (F.shiftleft("block", span) + F.col("x.k")).alias("pos"), "x.hash", "x.way",
-        F.expr(f"n <= {1 << span}").alias("done"), "block")
+    rows = groups.select("tree", "block", "done", F.explode(F.expr(f"transform(own, (x, k) -> struct(x as own, {way} as way))")).alias("x"))
+    rows = rows.select("tree", F.lit(level).alias("level"), *[F.col(f"x.own.{c}") for c in ("pos", "hash", *more)], "x.way", "done", "block")
     above = groups.select("tree", F.expr(f"(n + {(1 << span) - 1}) div {1 << span}").alias("n"), F.col("block").alias("pos"),
-                          F.expr("element_at(levels, -1)[0]").alias("hash"), F.expr(f"n <= {1 << span}").alias("done"))
+                          F.expr("element_at(levels, -1)[0]").alias("hash"), "done")
     return rows, above
 
 
@@ -128,10 +125,10 @@ FOLD = ("aggregate({way}, {start}, (h, s) -> if(s.hash is null, sha2(cast(h as b
         " sha2(cast(if(s.before, concat(s.hash, h), concat(h, s.hash)) as binary), 256)))")
 CLIMB = """
 WITH RECURSIVE climb AS (
-    SELECT doc_id, leaf, tree, level, pos, salt, folded, siblings, CAST(NULL AS STRING) AS subroot FROM {start}
+    SELECT doc_id, leaf, tree, level, pos, salt, folded, siblings, CAST(NULL AS BINARY) AS subroot FROM {start}
     UNION ALL
-    SELECT c.doc_id, c.leaf, n.up_tree, n.up_level, n.up_pos, c.salt, {fold},
-           concat(c.siblings, concat_ws('', n.way.hash)), coalesce(c.subroot, n.subroot)
+    SELECT c.doc_id, c.leaf, n.up_tree, n.up_level, n.up_pos, c.salt, unhex({fold}),
+           concat(c.siblings, unhex(concat_ws('', n.way.hash))), coalesce(c.subroot, n.subroot)
     FROM climb c JOIN {nodes} n ON n.tree = c.tree AND n.level = c.level AND n.pos = c.pos AND n.salt = c.salt)
 SELECT doc_id, leaf, subroot, siblings, folded FROM climb WHERE tree IS NULL
 """
@@ -164,7 +161,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None, span: int = SPAN,
     if rows.isEmpty():
         return rows.select("doc_id", "leaf", *[F.lit(None).cast("string").alias(c) for c in ("subroot", "root", "proof_sha256", "folded_root")],
                            F.lit(None).cast("boolean").alias("verified"))
-    levels, tops = forest(rows.select("tree", "n", "pos", F.col("leaf").alias("hash")), span, store)
+    levels, tops = forest(rows.select("tree", "n", "pos", F.col("leaf").alias("hash"), "doc_id", "folded"), span, store)
     tops = store.keep(tops)
     upper, root = forest(tops.select(F.lit(ROOT).cast("long").alias("tree"), F.lit(langs.count()).alias("n"),
                                      F.col("tree").alias("pos"), F.col("top").alias("hash")), span, store)
@@ -181,29 +178,29 @@ def manifest(docs: DataFrame, tampered: Column | None = None, span: int = SPAN,
     for i, level in enumerate(levels[1:], 1):
         here = level.join(F.broadcast(of), "tree") if langs.count() <= 100_000 else level.join(of, "tree")
         salt = F.pmod("pos", "salts").cast("int").alias("salt") if i == 1 else spread(F.col("salts"))
-        nodes.append(here.select("tree", "level", "pos", salt, "way", *parent, F.lit(None).cast("string").alias("subroot")))
+        nodes.append(here.select("tree", "level", "pos", salt, "way", *parent, F.lit(None).cast("binary").alias("subroot")))
     for i, level in enumerate(upper):
         here = level.join(of.withColumnRenamed("tree", "pos"), "pos") if i == 0 else level.withColumn("salts", F.lit(most))
         nodes.append(here.select(
             "tree", "level", "pos", spread(F.col("salts")), "way",
             F.when(~F.col("done"), F.col("tree")).alias("up_tree"), F.when(~F.col("done"), F.col("level") + span).alias("up_level"),
-            F.when(~F.col("done"), F.col("block")).alias("up_pos"), F.when(F.lit(i == 0), F.col("hash")).alias("subroot")))
+            F.when(~F.col("done"), F.col("block")).alias("up_pos"), F.when(F.lit(i == 0), F.unhex("hash")).alias("subroot")))
     table = nodes[0]
     for n in nodes[1:]:
         table = table.union(n)
     table = store.keep(table)
 
-    ways = levels[0].select("tree", "pos", "block", "way", *parent).join(
-        F.broadcast(of) if langs.count() <= 100_000 else of, "tree")
-    start = rows.select("doc_id", "leaf", "folded", "tree", "pos").join(ways, ["tree", "pos"])
-    start = store.keep(start.select(
-        "doc_id", "leaf", F.col("up_tree").alias("tree"), F.col("up_level").alias("level"), F.col("up_pos").alias("pos"),
-        F.pmod("block", "salts").cast("int").alias("salt"), F.expr(FOLD.format(way="way", start="folded")).alias("folded"),
-        F.concat_ws("", "way.hash").alias("siblings")))
-    found = _climb(start, table, store)
+    start = levels[0].join(F.broadcast(of) if langs.count() <= 100_000 else of, "tree").select("*", *parent)
+    start = start.select(
+        "doc_id", F.unhex("hash").alias("leaf"), F.col("up_tree").alias("tree"), F.col("up_level").alias("level"),
+        F.col("up_pos").alias("pos"), F.pmod("block", "salts").cast("int").alias("salt"),
+        F.unhex(F.expr(FOLD.format(way="way", start="folded"))).alias("folded"), F.unhex(F.concat_ws("", "way.hash")).alias("siblings"))
+    found = _climb(store.keep(start), table, store)
+    text = lambda c: F.lower(F.hex(c))
     return found.select(
-        "doc_id", "leaf", "subroot", F.lit(root).alias("root"), F.sha2(F.col("siblings").cast("binary"), 256).alias("proof_sha256"),
-        F.col("folded").alias("folded_root"), (F.col("folded") == root).alias("verified"))
+        "doc_id", text("leaf").alias("leaf"), text("subroot").alias("subroot"), F.lit(root).alias("root"),
+        F.sha2(text("siblings").cast("binary"), 256).alias("proof_sha256"), text("folded").alias("folded_root"),
+        (text("folded") == root).alias("verified"))
 
 
 def _climb(start: DataFrame, nodes: DataFrame, store: Store) -> DataFrame:
@@ -215,7 +212,7 @@ def _climb(start: DataFrame, nodes: DataFrame, store: Store) -> DataFrame:
     spark.conf.set(ROW_LIMIT, "-1")
     try:
         return store.keep(spark.sql(CLIMB.format(
-            start=f"start_{mark}", nodes=f"nodes_{mark}", fold=FOLD.format(way="n.way", start="c.folded"))))
+            start=f"start_{mark}", nodes=f"nodes_{mark}", fold=FOLD.format(way="n.way", start="lower(hex(c.folded))"))))
     finally:
         if before is None:
             spark.conf.unset(ROW_LIMIT)
