@@ -5,7 +5,7 @@ from importlib import import_module
 from sedimenta.registry.base import ORACLES, QUERIES
 
 MODULES = [
-    "scans", "relational", "quality", "ordered", "changes", "business", "governance", "operations", "insight", "flows",
+    "scans", "relational", "quality", "ordered", "changes", "business", "governance", "operations", "insight", "flows", "catalog",
 ]
 
 for _name in MODULES:
