@@ -66,16 +66,18 @@ def sequence_windows(
     hot_rows: int | None = None,
     small_bytes: int | None = None,
     bucket_rows: int = BUCKET_ROWS,
+    last: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Row number, neighbours, running sums and rank per key in ``order``.
+    """Row number, neighbours, running sums, last values and rank per key in ``order``.
 
     ``lag``/``lead`` map a new column to the column whose previous/next value
     it takes, ``running`` maps a new column to the column it sums up to and
-    including the row; for these ``order`` should be unique within a key.
+    including the row, ``last`` to the column whose last value that is not
+    NULL it takes; for these ``order`` should be unique within a key.
     Rows that are equal in ``order`` share their ``rank`` and their
     ``peer_running`` sums.  Sorting is ascending, NULLs first.
     """
-    lag, lead, running, peer_running = lag or {}, lead or {}, running or {}, peer_running or {}
+    lag, lead, running, peer_running, last = lag or {}, lead or {}, running or {}, peer_running or {}, last or {}
     hot = hot_keys(df, keys, hot_rows, small_bytes)
     columns = df.columns
     if hot is None:
@@ -87,6 +89,7 @@ def sequence_windows(
         new += [F.lead(c).over(w).alias(n) for n, c in lead.items()]
         new += [F.sum(c).over(upto).alias(n) for n, c in running.items()]
         new += [F.sum(c).over(w).alias(n) for n, c in peer_running.items()]
+        new += [F.last(c, ignorenulls=True).over(upto).alias(n) for n, c in last.items()]
         return df.select(*columns, *new)
 
     if not keys:
@@ -96,7 +99,7 @@ def sequence_windows(
         hot = hot.withColumn("_all", F.pmod(F.xxhash64("_rows"), F.lit(1)))
     rows = order_buckets(df, keys, order, hot, bucket_rows)
     sums = {**running, **peer_running}
-    carry = _carry(rows, keys, order, lag, lead, sums)
+    carry = _carry(rows, keys, order, lag, lead, sums, last)
     w = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = [F.row_number().over(w).cast("long").alias("_n"),
@@ -106,6 +109,7 @@ def sequence_windows(
     local += [F.lead(c).over(w).alias(f"_lead_{n}") for n, c in lead.items()]
     local += [F.sum(c).over(upto).alias(f"_run_{n}") for n, c in running.items()]
     local += [F.sum(c).over(w).alias(f"_run_{n}") for n, c in peer_running.items()]
+    local += [F.last(c, ignorenulls=True).over(upto).alias(f"_last_{n}") for n, c in last.items()]
     rows = rows.drop("_cuts").select("*", *local)
 
     joined = rows.alias("r").join(
@@ -122,6 +126,7 @@ def sequence_windows(
         earlier, here = F.col(f"_c_run_{n}"), F.col(f"_run_{n}")
         total = F.when(earlier.isNull(), here).when(here.isNull(), earlier).otherwise(earlier + here)
         new.append(total.cast(_sum_type(df, c)).alias(n))
+    new += [F.coalesce(f"_last_{n}", f"_c_last_{n}").alias(n) for n in last]
     return joined.select(*[F.col(f"r.{c}") for c in columns], *new)
 
 
@@ -129,7 +134,7 @@ def _sum_type(df: DataFrame, column: str):
     return df.select(F.sum(column)).schema[0].dataType
 
 
-def _carry(rows, keys, order, lag, lead, sums) -> DataFrame:
+def _carry(rows, keys, order, lag, lead, sums, last) -> DataFrame:
     """One row per bucket of a hot key: what the buckets around it hold."""
     place = F.struct(*[F.col(c) for c in order])
     aggs = [F.count(F.lit(1)).alias("_rows")]
@@ -137,6 +142,7 @@ def _carry(rows, keys, order, lag, lead, sums) -> DataFrame:
     aggs += [F.max_by(F.struct(F.col(c).alias("v")), place).alias(f"_lag_{n}") for n, c in lag.items()]
     aggs += [F.min_by(F.struct(F.col(c).alias("v")), place).alias(f"_lead_{n}") for n, c in lead.items()]
     aggs += [F.sum(c).alias(f"_run_{n}") for n, c in sums.items()]
+    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(f"_last_{n}") for n, c in last.items()]
     parts = rows.filter(F.col("_cuts").isNotNull()).groupBy(*keys, "_bucket").agg(*aggs)
     # About MAX_SPLITS buckets in all: this window is small whatever the data.
     w = Window.partitionBy(*keys).orderBy("_bucket")
@@ -145,6 +151,7 @@ def _carry(rows, keys, order, lag, lead, sums) -> DataFrame:
     out += [F.lag(f"_lag_{n}").over(w)["v"].alias(f"_c_lag_{n}") for n in lag]
     out += [F.lead(f"_lead_{n}").over(w)["v"].alias(f"_c_lead_{n}") for n in lead]
     out += [F.sum(f"_run_{n}").over(before).alias(f"_c_run_{n}") for n in sums]
+    out += [F.last(f"_last_{n}", ignorenulls=True).over(before).alias(f"_c_last_{n}") for n in last]
     return parts.select(*keys, "_bucket", *out)
 
 

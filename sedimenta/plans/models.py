@@ -21,7 +21,7 @@ from sedimenta.operators.windows import top_n_per_group
 from sedimenta.plans.features import stratified_split
 from sedimenta.scale import durable
 
-CHURN_FEATURES = ["recency_days", "frequency", "monetary", "avg_order_value", "categories_purchased"]
+CHURN_FEATURES = ["recency_days", "frequency", "monetary", "avg_order_value", "active_days", "categories_purchased"]
 # Fixed values of the models.
 FOREST_TREES, FOREST_DEPTH, SEED, TEST_SHARE = 100, 10, 42, 0.2
 ISOLATION_TREES, SAMPLE_ROWS, CONTAMINATION = 100, 256, 0.05
@@ -40,7 +40,8 @@ def balanced(rows: DataFrame, label: str) -> DataFrame:
 
 
 def fit_churn(features: DataFrame, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH):
-    """Fitted model and the scored test rows."""
+    """Fitted model and the scored test rows.  A customer's rows of all cutoffs
+    are on one side of the split."""
     split = stratified_split(features.na.drop(subset=CHURN_FEATURES), "customer_id", TEST_SHARE)
     split = durable(split.withColumn("label", F.col("churned").cast("double")), "churn")
     train = balanced(split.filter(~F.col("is_test")), "label")

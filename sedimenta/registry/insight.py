@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions import text as tx
 from sedimenta.operators.merge import key_violations
-from sedimenta.plans import features as ft
+from sedimenta.plans import churn, features as ft
 from sedimenta.registry.base import query
 from sedimenta.registry.sqlshapes import LINES, ORDERS, ORDERS_END, PRODUCTS, REVIEWS
 from sedimenta.sources import shapes
@@ -170,12 +170,48 @@ def stratified_split(spark, sf_dir):
     return ft.stratified_split(rfm(spark, sf_dir), "customer_id", 0.2).select("customer_id", "churned", "is_test")
 
 
+CUTOFFS = 4
+
+
+def training(spark, sf_dir):
+    orders = shapes.orders(spark, sf_dir)
+    at = churn.cutoffs(shapes.latest(orders, "order_date"), CUTOFFS)
+    return churn.training_rows(orders, shapes.lines(spark, sf_dir), shapes.products(spark, sf_dir), at)
+
+
+_CUTOFF_ROWS = f"""
+WITH c AS (SELECT CAST({ORDERS_END} - INTERVAL (90 * (k + 1)) DAY AS DATE) AS cutoff FROM range({CUTOFFS}) t(k)),
+o AS (SELECT * FROM {ORDERS}),
+b AS (SELECT customer_id, cutoff, max(order_date) AS latest, COUNT(*) AS frequency, SUM(amount) AS spent, COUNT(DISTINCT order_date) AS active_days
+  FROM o JOIN c ON order_date < cutoff GROUP BY 1, 2),
+k AS (SELECT customer_id, cutoff, COUNT(DISTINCT category) AS kinds FROM o JOIN c ON order_date < cutoff JOIN {LINES} USING (order_id) JOIN {PRODUCTS} USING (product_id) GROUP BY 1, 2)
+SELECT b.customer_id, b.cutoff, date_diff('day', latest, b.cutoff)::INT AS recency_days, frequency, CAST(spent AS DOUBLE) AS monetary,
+  CAST(spent AS DOUBLE) / frequency AS avg_order_value, active_days, coalesce(kinds, 0) AS categories_purchased,
+  CAST(NOT EXISTS (SELECT 1 FROM o n WHERE n.customer_id = b.customer_id AND n.order_date >= b.cutoff AND n.order_date < b.cutoff + INTERVAL 90 DAY) AS INTEGER) AS churned
+FROM b LEFT JOIN k USING (customer_id, cutoff)"""
+
+
+@query("churn_training_rows", _CUTOFF_ROWS)
+def churn_training_rows(spark, sf_dir):
+    """Features before each cutoff, the label from the 90 days after it."""
+    return training(spark, sf_dir)
+
+
+@query("order_history_as_of", f"""
+SELECT o.order_id, o.customer_id, o.order_date, COUNT(b.order_id) AS orders_before, coalesce(CAST(SUM(b.amount) AS DOUBLE), 0) AS spent_before,
+  date_diff('day', max(b.order_date), o.order_date)::INT AS days_since_order
+FROM {ORDERS} o LEFT JOIN {ORDERS} b ON b.customer_id = o.customer_id AND b.order_date < o.order_date GROUP BY 1, 2, 3""")
+def order_history_as_of(spark, sf_dir):
+    """Features of the customer as they were before each order."""
+    return churn.order_history(shapes.orders(spark, sf_dir))
+
+
 @query("churn_rf")
 def churn_rf(spark, sf_dir):
     """Quality of the churn classifier on the test rows."""
     from sedimenta.plans import models
 
-    _, scored = models.fit_churn(rfm(spark, sf_dir))
+    _, scored = models.fit_churn(training(spark, sf_dir))
     return models.churn_report(scored)
 
 
@@ -183,7 +219,7 @@ def churn_rf(spark, sf_dir):
 def churn_importance(spark, sf_dir):
     from sedimenta.plans import models
 
-    model, _ = models.fit_churn(rfm(spark, sf_dir))
+    model, _ = models.fit_churn(training(spark, sf_dir))
     return models.churn_importance(model, spark)
 
 

@@ -1,10 +1,12 @@
 """Anomaly detector and classifier on rows with known structure."""
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sedimenta.plans import features as ft, models
+from sedimenta.plans import churn, features as ft, models
 
 
 @pytest.fixture(scope="module")
@@ -37,15 +39,39 @@ def test_churn_forest(spark):
     for i in range(500):
         days = int(rng.integers(1, 180))
         churned = int(days > 90) if rng.random() < 0.95 else int(days <= 90)
-        rows.append((i, days, int(rng.integers(1, 20)), float(rng.uniform(10, 900)), float(rng.uniform(5, 99)), 2, churned))
+        rows.append((i, days, int(rng.integers(1, 20)), float(rng.uniform(10, 900)), float(rng.uniform(5, 99)), 2, 2, churned))
     df = spark.createDataFrame(
-        rows, "customer_id long, recency_days int, frequency int, monetary double, avg_order_value double, categories_purchased int, churned int")
+        rows, "customer_id long, recency_days int, frequency int, monetary double, avg_order_value double, active_days int, categories_purchased int, churned int")
     model, scored = models.fit_churn(df, trees=20, depth=5)
     r = models.churn_report(scored).first()
     assert r["roc_auc"] > 0.85 and r["accuracy"] > 0.8
     assert models.churn_importance(model, spark).first()["feature"] == "recency_days"
 
 
+def test_churn_before_a_cutoff(spark):
+    """Customers order at rates of their own: what came before tells something of what follows, not all."""
+    rng, start, orders = np.random.default_rng(5), dt.date(2020, 1, 1), []
+    for c in range(400):
+        day, gap = float(rng.uniform(0, 60)), float(rng.choice([25, 60, 150, 400]))
+        while day < 720:
+            orders.append((len(orders), c, start + dt.timedelta(days=int(day)), int(rng.integers(1, 90))))
+            day += rng.exponential(gap)
+    df = spark.createDataFrame(orders, "order_id long, customer_id long, order_date date, amount long").withColumn(
+        "amount", F.col("amount").cast("decimal(18,2)"))
+    lines = df.select("order_id", (F.col("order_id") % 7).alias("product_id"))
+    products = spark.range(7).select(F.col("id").alias("product_id"), (F.col("id") % 3).alias("category"))
+    at = churn.cutoffs(F.lit("2021-12-20").cast("date"), 3)
+    rows = churn.training_rows(df, lines, products, at)
+    _, scored = models.fit_churn(rows, trees=20, depth=5)
+    assert 0.6 < models.churn_report(scored).first()["roc_auc"] < 0.97
+    # Orders from the cutoff on change no feature, orders before it no label.
+    day = F.lit("2021-06-23").cast("date")
+    later = df.filter(F.col("order_date") < day)
+    one, two = ({r.customer_id: r for r in churn.training_rows(x, lines, products, [day]).collect()} for x in (df, later))
+    assert {i: r[1:-1] for i, r in one.items()} == {i: r[1:-1] for i, r in two.items()}
+    assert all(r.churned == 1 for r in two.values()) and 0 < sum(r.churned for r in one.values()) < len(one)
+
+
 def test_split_keeps_class_shares(spark):
     df = spark.range(20_000).withColumn("y", (F.col("id") % 10 == 0).cast("int"))
     shares = ft.stratified_split(df, "id", 0.2).groupBy("y").agg(F.avg(F.col("is_test").cast("int")).alias("s")).collect()

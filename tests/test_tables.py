@@ -71,9 +71,3 @@ def test_partitions_are_replaced_alone(spark, db):
     assert rows(spark, name) == sorted([(i, i % 3) for i in range(30) if i % 3 != 1] + [(1, 1), (4, 1)])
     plan = spark.table(name).filter("p = 2")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(p" in plan
-
-
-def test_odd_names(spark, db):
-    name = f"{db}.od`d"
-    tables.overwrite(spark.range(1).toDF("n"), name)
-    assert tables.exists(spark, name) and spark.table(tables.quoted(name)).count() == 1
