@@ -1,11 +1,17 @@
 """Operator 13: alignment of two tokenizers by pointer jumping.
 
 Both tokenizers cut the same bytes.  Every token points to the overlapping
-token of the other side that reaches furthest right; the pointers of all texts
-of a slice are doubled (``p = p[p]``) until they stand still, which takes as many
+token of the other side that reaches furthest right; the pointers of all tokens
+at hand are doubled (``p = p[p]``) until they stand still, which takes as many
 rounds as the logarithm of the longest chain.  A pointer then names the last
 token of its group, the first place where both sides end together.
 
+Both sides start a new token at a single space between two other characters:
+the byte-level pattern begins a word there, and no piece has the space mark
+behind another character.  So a text is a sequence of segments that no group
+crosses; a worker encodes and aligns many different segments at once and
+remembers what they hold.
+
 Counts of linked id pairs over the corpus take two more passes over the stored
 links, not over texts.  Frequent pairs, at most ``KNOWN``, are sent to the
 workers; the links of all other pairs meet their counts in a join, where no
@@ -16,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from functools import partial
 from itertools import accumulate
 from pathlib import Path
@@ -33,9 +40,12 @@ PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 # Text that a worker encodes and aligns at a time; one longer text is taken alone.
 SLICE_BYTES = 1 << 20
+# Different segments a worker remembers, and their links; beyond either it starts over.
+REMEMBERED = 500_000
+REMEMBERED_LINKS = 8_000_000
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 # Pairs whose counts are sent to every worker (17 bytes each).
 KNOWN = 500_000
-NOTHING = hashlib.sha256(b"").hexdigest()  # of no groups; texts without tokens have '' instead
 
 
 def byte_of() -> dict[str, int]:
@@ -68,14 +78,72 @@ class Pair:
         self.a_size, self.b_size = size(self.a_bytes), size(self.b_bytes)
         self.a_text, self.b_text = text(self.a_bytes, b",", b"|"), text(self.b_bytes, b",", b";", b"")
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both sides per text; none where either side's bytes differ."""
-        one = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        two = self.b.encode(texts, num_threads=1)
-        none = ([], [])
-        whole = [b" " + t.encode() for t in texts]
-        return [(a, b) if b"".join(map(self.a_bytes.__getitem__, a)) == w and b"".join(map(self.b_bytes.__getitem__, b)) == w
-                else none for a, b, w in zip(one, two, whole)]
+        self.cuts = not any(MARK in self.b.id_to_piece(i).lstrip(MARK) for i in range(len(self.b_bytes)))
+        self._forget()
+
+    def _forget(self):
+        self.number: dict[str, int] = {}  # of a segment
+        self.text: list[bytes] = []  # its groups
+        # Per segment: tokens of A and B, groups, links, and whether both sides give back its bytes.
+        self.counts = np.zeros((0, 5), np.int64)
+        self.pairs = np.zeros(0, np.int64)  # links of all segments as codes of id pairs
+
+    def segments(self, text: str | None) -> list[str]:
+        """The text with a space in front, cut before single spaces; the space
+        that every segment begins with is left out."""
+        if not text:
+            return []
+        first, *rest = _CUT.split(" " + text) if self.cuts else [" " + text]
+        return [first[1:], *rest]
+
+    def learn(self, new: list[str]) -> None:
+        """Encode and align different segments."""
+        one = [e.ids for e in self.a.encode_batch([" " + s for s in new], add_special_tokens=False)]
+        two = self.b.encode(new, num_threads=1)
+        whole = [b" " + s.encode() for s in new]
+        ok = np.ones(len(new), bool)
+        if not all(b"".join([of[i] for ids in side for i in ids]) == b"".join(whole) for side, of in ((one, self.a_bytes), (two, self.b_bytes))):
+            ok[:] = [b"".join(map(self.a_bytes.__getitem__, a)) == w == b"".join(map(self.b_bytes.__getitem__, b)) for a, b, w in zip(one, two, whole)]
+        size = np.array([len(w) for w in whole])
+        for ids, of in ((one, self.a_size), (two, self.b_size)):  # equal as a whole, but not segment by segment
+            flat, many = np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids])
+            ends = np.concatenate(([0], np.cumsum(of[flat])))[np.cumsum(many)]
+            ok &= np.diff(ends, prepend=0) == size
+        one, two = ([x if k else [] for x, k in zip(side, ok)] for side in (one, two))
+        n_a, n_b = np.array([len(x) for x in one]), np.array([len(x) for x in two])
+        a, b = (np.array([i for x in side for i in x], np.int64) for side in (one, two))
+        n_groups, n_links, text = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), [b""] * len(new)
+        if len(a):
+            a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+            label = groups(a_end, b_end)
+            x, y = links(a_end, b_end)
+            own = np.repeat(np.arange(len(new)), n_a)
+            n_links = np.bincount(own[x], minlength=len(new))
+            last = np.flatnonzero(label[:len(a)] == np.arange(len(a)))
+            n_groups = np.bincount(own[last], minlength=len(new))
+            text = _written(self, a, b, label, last, n_a, n_b)
+            self.pairs = np.concatenate((self.pairs, a[x] * len(self.b_size) + b[y]))
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.text += text
+        self.counts = np.concatenate((self.counts, np.stack((n_a, n_b, n_groups, n_links, ok), 1)))
+
+    def look_up(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Numbers of the segments of every text; none where a side's bytes differ from the text."""
+        if len(self.number) > REMEMBERED or len(self.pairs) > REMEMBERED_LINKS:
+            self._forget()
+        parts = [self.segments(t) for t in texts]
+        new = list(dict.fromkeys(s for p in parts for s in p if s not in self.number))
+        if new:
+            self.learn(new)
+        out = [np.array([self.number[s] for s in p], np.int64) for p in parts]
+        for i, at in enumerate(out):
+            if not self.counts[at, 4].all():
+                # A piece that differs: the text as a whole decides.
+                if texts[i] not in self.number:
+                    self.learn([texts[i]])
+                at = np.array([self.number[texts[i]]])
+                out[i] = at if self.counts[at[0], 4] else at[:0]
+        return out
 
 
 def groups(a_end: np.ndarray, b_end: np.ndarray) -> np.ndarray:
@@ -104,9 +172,8 @@ def links(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return a, first[a] + within
 
 
-def _written(pair: Pair, a: np.ndarray, b: np.ndarray, label: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[str]:
-    """SHA-256 of the groups of every text; '' for texts without tokens."""
-    last = np.unique(label)  # last A token of every group
+def _written(pair: Pair, a: np.ndarray, b: np.ndarray, label: np.ndarray, last: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[bytes]:
+    """The groups of every segment, as ``a1,a2|b1;a3|b2``."""
     group = np.searchsorted(last, label)
     a_in, b_in = np.bincount(group[:len(a)], minlength=len(last)), np.bincount(group[len(a):], minlength=len(last))
     b_before, a_upto = np.cumsum(b_in) - b_in, np.cumsum(a_in)
@@ -116,33 +183,30 @@ def _written(pair: Pair, a: np.ndarray, b: np.ndarray, label: np.ndarray, n_a: n
     out[np.arange(len(a)) + b_before[group[:len(a)]]] = text
     text, ends = pair.b_text[0][b], np.cumsum(b_in) - 1
     text[ends] = pair.b_text[1][b[ends]]
-    stop = np.cumsum(n_b)[n_b > 0] - 1  # last tokens of texts
+    stop = np.cumsum(n_b)[n_b > 0] - 1  # last tokens of segments
     text[stop] = pair.b_text[2][b[stop]]
     out[np.arange(len(b)) + a_upto[group[len(a):]]] = text
-    at = [0, *accumulate((n_a + n_b).tolist())]
-    return [hashlib.sha256(b"".join(out[x:y])).hexdigest() if y > x else "" for x, y in zip(at, at[1:])]
+    out, at = out.tolist(), [0, *accumulate((n_a + n_b).tolist())]
+    return [b"".join(out[x:y]) for x, y in zip(at, at[1:])]
 
 
-def aligned(pair: Pair, ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
+def aligned(pair: Pair, ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
     """One row per text with its digest columns and its distinct linked id pairs."""
-    found = pair.encode(texts)
-    n_a, n_b = (np.array([len(f[k]) for f in found], np.int64) for k in (0, 1))
-    a, b = (np.array([i for f in found for i in f[k]], np.int64) for k in (0, 1))
-    a_end, b_end = np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b])
-    if len(a):
-        label = groups(a_end, b_end)
-        x, y = links(a_end, b_end)
-        digests = _written(pair, a, b, label, n_a, n_b)
-    else:
-        label = x = y = np.zeros(0, np.int64)
-        digests = [""] * len(texts)
-    doc = np.repeat(np.arange(len(texts)), n_a)
-    key, times = np.unique((doc[x] * len(pair.a_size) + a[x]) * len(pair.b_size) + b[y], return_counts=True)
-    code = key % (len(pair.a_size) * len(pair.b_size))
-    ends = np.cumsum(np.bincount(key // (len(pair.a_size) * len(pair.b_size)), minlength=len(texts)))
-    per_text = lambda of: pa.array(np.bincount(doc[of], minlength=len(texts)).astype(np.int64))
+    found = pair.look_up(texts)
+    many = np.array([len(f) for f in found], np.int64)
+    at, doc = np.concatenate(found), np.repeat(np.arange(len(texts)), many)
+    digests = [hashlib.sha256(b";".join([pair.text[i] for i in f.tolist()])).hexdigest() if len(f) else "" for f in found]
+    sums = [np.bincount(doc, weights=pair.counts[at, k], minlength=len(texts)).astype(np.int64) for k in range(4)]
+    size = pair.counts[at, 3]
+    start = (np.cumsum(pair.counts[:, 3]) - pair.counts[:, 3])[at]
+    code = pair.pairs[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+    all_pairs = len(pair.a_size) * len(pair.b_size)
+    key = np.sort(np.repeat(doc, size) * all_pairs + code)
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    times, key = np.diff(first, append=len(key)), key[first]
+    code, ends = key % all_pairs, np.cumsum(np.bincount(key // all_pairs, minlength=len(texts)))
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(n_a), pa.array(n_b), per_text(np.unique(label)), per_text(x), pa.array(digests, pa.string()),
+        [ids, *map(pa.array, sums), pa.array(digests, pa.string()),
          lists((code // len(pair.b_size)).astype(np.int32), ends, pa.int32()), lists((code % len(pair.b_size)).astype(np.int32), ends, pa.int32()),
          lists(times.astype(np.int32), ends, pa.int32())],
         ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b", "times"])
@@ -157,14 +221,14 @@ def _align(batches, shared):
     if pair is None:
         pair = _pairs[mark] = Pair(byte_level, pieces)
     for batch in batches:
-        sizes = batch.column(1).fill_null("").to_pylist()
+        texts = batch.column(1).fill_null("").to_pylist()
         at = 0
-        while at < len(sizes):
+        while at < len(texts):
             upto, total = at, 0
-            while upto < len(sizes) and (upto == at or total + len(sizes[upto]) <= SLICE_BYTES):
-                total += len(sizes[upto])
+            while upto < len(texts) and (upto == at or total + len(texts[upto]) <= SLICE_BYTES):
+                total += len(texts[upto])
                 upto += 1
-            yield aligned(pair, batch.column(0).slice(at, upto - at), sizes[at:upto])
+            yield aligned(pair, batch.column(0).slice(at, upto - at), texts[at:upto])
             at = upto
 
 

@@ -72,7 +72,7 @@ def mixed(spark):
     rng = random.Random(5)
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if len(r.text) < 700][:150]
     odd = [None, "", " ", "  a  b\n\n c ", "<|endoftext|> <s> </s> <unk> <0x41>", "▁ mark", "a\x00b", "日本語 のテキスト", "é é 🙂🏽 ﬁ",
-           "\r\n\t", "x" * 3000, "same", "same"]
+           "\r\n\t", " a b", "it 's a' s", "a\u00a0b c\u2003d \u200be \x1c f\x1c g", "▁ ▁a b▁ c", "w" * 60 + " " + "w" * 60, "x" * 3000, "same", "same"]
     rows += [(10**6 + i, t) for i, t in enumerate(odd)] + [(None, "same"), (10**6, "again"), (10**6, "again")]
     rows += [(2 * 10**6 + i, "".join(rng.choice("ab \n.é字🙂'1") for _ in range(60))) for i in range(60)]
     return rows
