@@ -295,7 +295,9 @@ def near_components(
         often = keyed_rows().groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > OFTEN)
         known = docs.sparkSession.createDataFrame(pa.table({"key": late}))
         often = store.keep(often.join(F.broadcast(known), "key", "left_anti").select("key", F.floor(F.log2("size")).alias("level")))
-        levels_found = dict(often.groupBy("level").count().collect())
+        sizes = often.groupBy("level").agg(F.count(F.lit(1)).alias("keys"))
+        # One entry per power of two.
+        levels_found = sizes.agg(F.map_from_entries(F.collect_list(F.struct("level", "keys")))).first()[0]
         fitting = [v for v in levels_found if sum(c for u, c in levels_found.items() if u >= v) <= MAX_LATE - len(late)]
         if not fitting:
             break

@@ -457,4 +457,7 @@ def test_bounded_calls():
     for word in ("localCheckpoint", "crossJoin", ".rdd", "F.udf", "toLocalIterator"):
         assert not [f for f, s in text.items() if word in s]
     assert {f for f, s in text.items() if "toPandas" in s or ".collect()" in s} == {"htmltext.py", "latent.py", "linequality.py"}
+    # Whole columns reach it where a parameter bounds their rows: late keys, known pairs, the sample.
+    assert {f for f, s in text.items() if "toArrow()" in s} == {"alignment.py", "jaccard.py", "multiindex.py"}
+    assert jaccard.MAX_LATE <= 10**6
     assert set(ORACLES) <= set(QUERIES) and len(QUERIES) == 14
