@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -191,12 +192,36 @@ def check_source(source: DataFrame, keys: list[str]) -> None:
         raise ValueError("the source of a merge has NULL or repeated keys")
 
 
+@dataclass(frozen=True)
+class MergeResult:
+    """Buckets rewritten, and what became of the rows."""
+
+    buckets: int = 0
+    inserted: int = 0
+    updated: int = 0
+    deleted: int = 0
+
+
+def action_counts() -> list[Column]:
+    """Inserts, updates and deletes of ``merge_actions`` as aggregates."""
+    return [F.count_if(F.col(ACTION) == a).alias(f"{a}d" if a.endswith("e") else f"{a}ed") for a in ("insert", "update", "delete")]
+
+
 def merge_into(
     spark: SparkSession, path: str, source: DataFrame, keys: list[str], buckets: int, update_when: Column,
     delete_when: Column | None = None,
 ) -> int:
+    """``merge_counted``, returning the number of rewritten buckets."""
+    return merge_counted(spark, path, source, keys, buckets, update_when, delete_when).buckets
+
+
+def merge_counted(
+    spark: SparkSession, path: str, source: DataFrame, keys: list[str], buckets: int, update_when: Column,
+    delete_when: Column | None = None,
+) -> MergeResult:
     """MERGE ``source`` into a bucketed table; only buckets with a changed key
-    are read and rewritten.  Returns their number.
+    are read and rewritten.  Inserts, updates and deletes are counted while the
+    rows are written, not by a second run of the join.
 
     Rewritten buckets go to a new folder and become current with the state
     rows that are written last.  An interrupted call changes nothing, and the
@@ -215,10 +240,12 @@ def merge_into(
     changes = changes.withColumn(BUCKET, key_bucket(keys, buckets))
     touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]  # at most ``buckets``
     if not touched:
-        return 0
-    merged = merge(_read(spark, path, state, touched), changes, [*keys, BUCKET], update_when, delete_when)
+        return MergeResult()
+    seen = Observation("merge")
+    actions = merge_actions(_read(spark, path, state, touched), changes, [*keys, BUCKET], update_when, delete_when)
+    merged = actions.observe(seen, *action_counts()).filter(F.col(ACTION) != "delete").drop(ACTION)
     _commit(merged, path, buckets, state["version"] + 1, touched, False)
-    return len(touched)
+    return MergeResult(len(touched), seen.get["inserted"], seen.get["updated"], seen.get["deleted"])
 
 
 def merge_counts(read: DataFrame, deduplicated_actions: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from sedimenta.scale import durable, hot_keys
 
 # Groups and tables up to these sizes are left to the built-in function.
 BUFFER_ROWS = 200_000
-BUFFER_TABLE_BYTES = 16 * 1024 * 1024
 
 
 def exact_percentiles(
@@ -30,9 +29,8 @@ def exact_percentiles(
     are picked.
     """
     group_rows = BUFFER_ROWS if hot_rows is None else hot_rows
-    table_bytes = BUFFER_TABLE_BYTES if small_bytes is None else small_bytes
     some = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    if hot_keys(some, keys, group_rows, table_bytes) is None:
+    if hot_keys(some, keys, group_rows, small_bytes) is None:
         return some.groupBy(*keys).agg(
             *[F.percentile("_v", F.lit(p)).alias(n) for n, p in probabilities.items()]
         )

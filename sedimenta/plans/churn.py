@@ -31,7 +31,7 @@ def facts(orders: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame
         F.count(F.lit(1)).alias("orders"), F.sum("amount").alias("amount"))
     bought = skew_join(lines.select("order_id", "product_id"), orders.select("order_id", "customer_id", "order_date"), ["order_id"])
     first = bought.groupBy("customer_id", "product_id").agg(F.min("order_date").alias("day"))
-    first = skew_join(first, products.select("product_id", "category"), ["product_id"])
+    first = skew_join(first, products.select("product_id", "category"), ["product_id"], same_keys=lines)
     first = first.groupBy("customer_id", "category").agg(F.min("day").alias("day"))
     kinds = first.groupBy("customer_id", "day").agg(F.count(F.lit(1)).alias("kinds"))
     amount = days.schema["amount"].dataType

@@ -28,7 +28,7 @@ def rfm_features(orders: DataFrame, lines: DataFrame, products: DataFrame, today
     bought = skew_join(lines.select("order_id", "product_id"), orders.select("order_id", "customer_id"), ["order_id"])
     pairs = bought.select("customer_id", "product_id").distinct()
     kinds = (
-        skew_join(pairs, products.select("product_id", "category"), ["product_id"])
+        skew_join(pairs, products.select("product_id", "category"), ["product_id"], same_keys=lines)
         .groupBy("customer_id").agg(F.count_distinct("category").alias("categories_purchased"))
     )
     return per.join(kinds, "customer_id", "left").select(

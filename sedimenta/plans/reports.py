@@ -13,15 +13,18 @@ from sedimenta.plans.star import ratio
 from sedimenta.scale import broadcast_if_small, skew_join, durable
 
 
-def daily_summary(fact: DataFrame, products: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Sales by city and category with the number of customers.
+def daily_summary(
+    fact: DataFrame, products: DataFrame, customer: DataFrame, nation: DataFrame, lines: DataFrame | None = None
+) -> DataFrame:
+    """Sales by city and category with the number of customers.  Hot products
+    are looked for in ``lines``, which the fact rows come from.
 
     Lines are summed per customer and category first.  Each customer is then
     one row of its category, so counting rows counts distinct customers.
     """
     placed = skew_join(
         fact.select("customer_id", "product_id", "order_id", "line_total"),
-        products.select("product_id", "category"), ["product_id"],
+        products.select("product_id", "category"), ["product_id"], same_keys=lines,
     )
     sums = placed.groupBy("customer_id", "category").agg(
         F.sum("line_total").alias("sales"), F.count("order_id").alias("n")
@@ -36,12 +39,13 @@ def daily_summary(fact: DataFrame, products: DataFrame, customer: DataFrame, nat
     )
 
 
-def sales_by_category_daily(fact: DataFrame, products: DataFrame) -> DataFrame:
+def sales_by_category_daily(fact: DataFrame, products: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Hot products are looked for in ``lines``, which the fact rows come from."""
     sums = fact.groupBy("product_id", "order_date").agg(
         F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units")
     )
     return (
-        skew_join(sums, products.select("product_id", "category"), ["product_id"])
+        skew_join(sums, products.select("product_id", "category"), ["product_id"], same_keys=lines)
         .groupBy("category", "order_date")
         .agg(F.sum("revenue").cast("double").alias("revenue"), F.sum("units").alias("units"))
     )

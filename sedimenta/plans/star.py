@@ -43,7 +43,7 @@ def completed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grain: one row per line of a completed order."""
     cost = shapes.products(spark, sf_dir).select("product_id", "retail_price", "cost_price")
-    joined = skew_join(completed_lines(spark, sf_dir), cost, ["product_id"])
+    joined = skew_join(completed_lines(spark, sf_dir), cost, ["product_id"], same_keys=shapes.lines(spark, sf_dir))
     return joined.select(
         "order_id", "line_number", "customer_id", "product_id", "order_date", "quantity",
         F.col("retail_price").alias("unit_price"),
@@ -52,8 +52,9 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_product(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    return skew_join(fact, dim, ["product_id"])
+def with_product(fact: DataFrame, dim: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Hot products are looked for in ``lines``, which the fact rows come from."""
+    return skew_join(fact, dim, ["product_id"], same_keys=lines)
 
 
 def sales_kpis(fact: DataFrame) -> DataFrame:
@@ -104,9 +105,9 @@ def top_products(fact: DataFrame, dim: DataFrame, n: int = 10, digits: int = 2)
     )
 
 
-def revenue_by_category(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def revenue_by_category(fact: DataFrame, dim: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Distinct orders need the category on the line, so lines join here."""
-    joined = with_product(fact, dim.select("product_id", "category"))
+    joined = with_product(fact, dim.select("product_id", "category"), lines)
     return joined.groupBy("category").agg(
         F.count_distinct("order_id").alias("order_count"),
         F.sum("line_total").alias("_revenue"),

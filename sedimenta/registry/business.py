@@ -81,7 +81,7 @@ SELECT category, COUNT(DISTINCT order_id) AS order_count, CAST(SUM(line_total) A
   round(CAST(SUM(line_total) AS DOUBLE) / COUNT(*), 2) AS avg_order_value, CAST(SUM(profit) AS DOUBLE) AS total_profit
 FROM {FACT} JOIN {DIM} USING (product_id) GROUP BY 1""")
 def revenue_by_category(spark, sf_dir):
-    return star.revenue_by_category(fact(spark, sf_dir), dim(spark, sf_dir))
+    return star.revenue_by_category(fact(spark, sf_dir), dim(spark, sf_dir), shapes.lines(spark, sf_dir))
 
 
 _MONTHLY = f"""SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, COUNT(DISTINCT order_id) AS order_count,
@@ -146,7 +146,7 @@ def dash_monthly(spark, sf_dir):
 SELECT category, CAST(SUM(line_total) AS DOUBLE) AS total_revenue, COUNT(DISTINCT order_id) AS order_count
 FROM {FACT} JOIN {DIM} USING (product_id) WHERE {IN_RANGE} GROUP BY 1""")
 def dash_category(spark, sf_dir):
-    out = star.revenue_by_category(year(spark, sf_dir), dim(spark, sf_dir))
+    out = star.revenue_by_category(year(spark, sf_dir), dim(spark, sf_dir), shapes.lines(spark, sf_dir))
     return out.select("category", "total_revenue", "order_count")
 
 
@@ -170,7 +170,7 @@ SELECT c.city, p.category, CAST(SUM(f.line_total) AS DOUBLE) AS total_sales, COU
 FROM {FACT} f JOIN {PRODUCTS} p USING (product_id) JOIN (SELECT c_custkey, n_name AS city FROM customer JOIN nation ON c_nationkey = n_nationkey) c ON f.customer_id = c.c_custkey GROUP BY 1, 2""")
 def daily_summary_(spark, sf_dir):
     t = lambda n: shapes.table(spark, sf_dir, n)
-    return daily_summary(fact(spark, sf_dir), shapes.products(spark, sf_dir), t("customer"), t("nation"))
+    return daily_summary(fact(spark, sf_dir), shapes.products(spark, sf_dir), t("customer"), t("nation"), shapes.lines(spark, sf_dir))
 
 
 @query("param_slice", f"""
@@ -294,4 +294,4 @@ def fact_orders_enriched(spark, sf_dir):
 @query("sales_by_category_daily", f"""
 SELECT category, order_date, CAST(SUM(line_total) AS DOUBLE) AS revenue, SUM(quantity)::BIGINT AS units FROM {FACT} JOIN {PRODUCTS} USING (product_id) GROUP BY 1, 2""")
 def sales_by_category_daily_(spark, sf_dir):
-    return sales_by_category_daily(fact(spark, sf_dir), shapes.products(spark, sf_dir))
+    return sales_by_category_daily(fact(spark, sf_dir), shapes.products(spark, sf_dir), shapes.lines(spark, sf_dir))

@@ -109,23 +109,6 @@ def merge_metrics(spark, sf_dir):
     return mg.merge_counts(read, acts)
 
 
-@query("run_alerts", f"""
-WITH m AS (SELECT COUNT(*) AS r, COUNT(DISTINCT user_id) AS k FROM {CHANGES} WHERE updated_at >= {CUTOVER}),
-e AS (SELECT COUNT(*) AS d FROM {S} s WHERE status = 'error'), a AS (SELECT COUNT(*) AS total FROM (SELECT DISTINCT user_id FROM {CHANGES}))
-SELECT 'watermark_lag' AS alert, TRUE AS fired UNION ALL SELECT 'no_records', r = 0 FROM m
-UNION ALL SELECT 'duplicate_rate', (r - k) / r > 0.1 FROM m UNION ALL SELECT 'delete_rate', d / total > 0.05 FROM e, a
-UNION ALL SELECT 'slow_run', FALSE""")
-def run_alerts(spark, sf_dir):
-    read = log(spark, sf_dir).filter(F.col("updated_at") >= shapes.cutover())
-    counts = read.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max_by("status", F.struct("updated_at", "seq")).alias("last"))
-    everyone = log(spark, sf_dir).select("user_id").distinct().withColumn("known", F.lit(1))
-    m = everyone.join(counts, "user_id", "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("records_read"), F.count("n").alias("records_deduplicated"),
-        F.count_if(F.col("last") == "error").alias("records_deleted"), F.count("known").alias("records_total"),
-    )
-    return inc.run_alerts(m, lag_hours=5.0, duration_sec=30.0, usual_sec=20.0)
-
-
 @query("scd2_history", f"""
 SELECT {COLS}, lead(updated_at) OVER w AS valid_to, updated_at AS valid_from, lead(updated_at) OVER w IS NULL AS is_current
 FROM {CHANGES} WINDOW w AS (PARTITION BY user_id ORDER BY updated_at, seq)""")
@@ -235,6 +218,66 @@ def run_state(spark, sf_dir):
     )
 
 
+# Two runs with deletes: the first over the log before MIDDLE, the second over all of it.
+MIDDLE_DAYS = 60
+
+
+def two_runs(spark, sf_dir):
+    """The runs take 10 and 30 seconds of a clock that is set by hand."""
+    silver, state = load_first(spark, sf_dir, "orders")
+    ticks = iter([0, 10, 100, 130])
+    early = F.col("updated_at") < shapes.cutover() + F.expr(f"INTERVAL {MIDDLE_DAYS} DAY")
+    for part in (log(spark, sf_dir).filter(early), log(spark, sf_dir)):
+        inc.run_incremental(
+            spark, part, silver, state, "orders", KEY, "updated_at", ["seq"], 24, BUCKETS,
+            delete_when=F.col("s.status") == "error", clock=lambda: next(ticks),
+        )
+    return silver, spark.read.schema(inc.STATE_SCHEMA).parquet(state)
+
+
+_MIDDLE = f"({CUTOVER} + INTERVAL {MIDDLE_DAYS} DAY)"
+_RUNS = f"""
+WITH c AS (SELECT * FROM {CHANGES}),
+w AS (SELECT max(updated_at) AS w1 FROM c WHERE updated_at < {_MIDDLE}), e AS (SELECT max(updated_at) AS w2 FROM c),
+t0 AS {T}, s1 AS {_newest(f"updated_at > {CUTOVER} - INTERVAL 24 HOUR AND updated_at < {_MIDDLE}")},
+r1 AS (SELECT coalesce(s1.user_id, t0.user_id) AS user_id, s1.user_id AS sk, t0.user_id AS tk, s1.status AS ss, greatest(s1.updated_at, t0.updated_at) AS seen_at,
+  s1.updated_at > t0.updated_at AS newer FROM t0 FULL JOIN s1 ON t0.user_id = s1.user_id),
+t1 AS (SELECT user_id, seen_at FROM r1 WHERE NOT coalesce(ss = 'error', FALSE)),
+s2 AS (SELECT * FROM {_newest("TRUE")} WHERE updated_at > (SELECT w1 FROM w) - INTERVAL 24 HOUR),
+r2 AS (SELECT s2.user_id AS sk, t1.user_id AS tk, s2.status AS ss, s2.updated_at > t1.seen_at AS newer, coalesce(s2.user_id, t1.user_id) AS user_id FROM t1 FULL JOIN s2 ON t1.user_id = s2.user_id),
+m AS (SELECT 1::BIGINT AS run_no, w1 AS last_watermark, (SELECT COUNT(*) FROM c WHERE updated_at > {CUTOVER} - INTERVAL 24 HOUR AND updated_at < {_MIDDLE}) AS records_read, sk, tk, ss, newer, 10.0::DOUBLE AS duration_sec FROM r1, w
+  UNION ALL SELECT 2, w2, (SELECT COUNT(*) FROM c WHERE updated_at > w1 - INTERVAL 24 HOUR), sk, tk, ss, newer, 30.0::DOUBLE FROM r2, w, e),
+runs AS (SELECT run_no, last_watermark, COUNT(sk) AS records_deduplicated, records_read, COUNT(*) FILTER (tk IS NULL AND ss <> 'error') AS records_inserted,
+  COUNT(*) FILTER (tk IS NOT NULL AND ss <> 'error' AND newer) AS records_updated, COUNT(*) FILTER (tk IS NOT NULL AND ss = 'error') AS records_deleted,
+  0::BIGINT AS records_rejected, COUNT(*) FILTER (NOT coalesce(ss = 'error', FALSE)) AS records_total, duration_sec FROM m GROUP BY run_no, last_watermark, records_read, duration_sec)
+"""
+
+
+@query("run_metrics", f"{_RUNS} SELECT * FROM runs")
+def run_metrics(spark, sf_dir):
+    """What two runs read, kept, inserted, updated and deleted, from their state rows."""
+    return inc.run_metrics(two_runs(spark, sf_dir)[1], "orders")
+
+
+@query("run_alerts", f"""{_RUNS},
+l AS (SELECT * FROM runs WHERE run_no = 2)
+SELECT 'watermark_lag' AS alert, TRUE AS fired UNION ALL SELECT 'no_records', records_read = 0 FROM l
+UNION ALL SELECT 'duplicate_rate', (records_read - records_deduplicated) / records_read > 0.1 FROM l
+UNION ALL SELECT 'delete_rate', records_deleted / records_total > 0.05 FROM l
+UNION ALL SELECT 'slow_run', l.duration_sec > 2 * f.duration_sec FROM l, runs f WHERE f.run_no = 1""")
+def run_alerts(spark, sf_dir):
+    """Alerts of the second run, five hours after the newest change."""
+    state = two_runs(spark, sf_dir)[1]
+    now = shapes.latest(log(spark, sf_dir), "updated_at") + F.expr("INTERVAL 5 HOUR")
+    return inc.alerts_of_last_run(state, "orders", now)
+
+
+@query("run_incremental_deletes", f"{_RUNS} SELECT a.user_id, a.updated_at, a.status FROM {_newest('TRUE')} a JOIN r2 ON r2.user_id = a.user_id WHERE NOT coalesce(r2.ss = 'error', FALSE)")
+def run_incremental_deletes(spark, sf_dir):
+    """The table after two runs whose source rows may delete their key."""
+    return mg.read_bucketed(spark, two_runs(spark, sf_dir)[0]).select("user_id", "updated_at", "status")
+
+
 @query("merge_into_buckets", _merged("s.updated_at > t.updated_at"))
 def merge_into_buckets(spark, sf_dir):
     """The same MERGE in place: only buckets with a changed key are rewritten."""

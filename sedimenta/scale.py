@@ -6,7 +6,7 @@ through this module.  The decisions are made once, while the plan is built:
 * ``plan_bytes`` is the optimizer's own size estimate, the number that decides
   automatic broadcasts;
 * ``hot_keys`` counts keys in a sample of the rows and returns the few that
-  are too large for one task, or ``None``;
+  are too large for one task, or ``None``; tables with few rows need no sample;
 * ``skew_join`` salts only those keys.
 """
 
@@ -18,10 +18,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Below this estimate a whole table fits one task, so no key can be too large.
-SMALL_BYTES = 256 * 1024 * 1024
-# Under this even a column of one value has fewer rows than HOT_ROWS.
-TINY_BYTES = 512 * 1024
+# Rows are looked up in the footers of so many files at most; beyond, the keys are sampled.
+MAX_FOOTERS = 10_000
 # A key with more rows than this is split over several tasks.
 HOT_ROWS = 5_000_000
 # A key at the limit is expected this often in the sample that finds it.
@@ -70,12 +68,16 @@ def hot_keys(
     depend on which keys are on it.  It has at most ``MAX_HOT_KEYS`` rows, so
     it can be broadcast.  ``None`` means that no key needs splitting.  Without
     keys the whole table is the one group.
+
+    Rows decide, not bytes: where the files below hold no more than
+    ``hot_rows`` rows together, nothing is sampled, nor is any join run.
+    ``small_bytes=0`` samples in any case.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    small_bytes = SMALL_BYTES if small_bytes is None else small_bytes
-    size = plan_bytes(df)
-    if size <= small_bytes and not (size > TINY_BYTES and _is_scan(df) and df.count() > hot_rows):
-        return None
+    if small_bytes is None:
+        rows = rows_in_files(df)
+        if rows is not None and rows <= hot_rows:
+            return None
     share = min(1.0, SAMPLE_HITS / hot_rows)
     seen = df.select(*keys)
     if share < 1.0:
@@ -94,11 +96,26 @@ def hot_keys(
     return df.sparkSession.createDataFrame(rows, counts.schema)
 
 
-def _is_scan(df: DataFrame) -> bool:
-    """A plan whose rows can be counted without a shuffle: compressed bytes say
-    little about rows, Parquet footers know them."""
-    plan = str(df._jdf.queryExecution().optimizedPlan().toString())
-    return not any(x in plan for x in ("Join", "Aggregate", "Window", "Generate", "Union", "Sort", "Distinct"))
+_footers: dict[tuple[str, ...], int] = {}
+
+
+def rows_in_files(df: DataFrame) -> int | None:
+    """Rows of all Parquet files a plan reads, from their footers; ``None``
+    where it reads anything else or very many files.  Operators here keep or
+    drop rows of their inputs, or join a table that is unique on the key, so no
+    key can have many more rows than that."""
+    files = df._jdf.inputFiles()
+    if not 0 < len(files) <= MAX_FOOTERS:
+        return None
+    files = tuple(sorted(files))
+    if not all(f.endswith(".parquet") for f in files):
+        return None
+    if files not in _footers:
+        if len(_footers) > 1000:
+            _footers.clear()
+        # No column is read: the counts come from the footers.
+        _footers[files] = df.sparkSession.read.parquet(*files).count()
+    return _footers[files]
 
 
 def null_safe(left: str, right: str, keys: list[str]) -> Column:
@@ -125,6 +142,7 @@ def skew_join(
     how: str = "inner",
     hot_rows: int | None = None,
     small_bytes: int | None = None,
+    same_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large ``left`` to a ``right`` with few rows per key.
 
@@ -132,6 +150,10 @@ def skew_join(
     tasks, and the matching rows of ``right`` are repeated once per salt; all
     other rows keep salt 0.  No row is lost: each left row meets every right
     row of its key exactly once.
+
+    ``same_keys`` is a frame with at least as many rows of every key that is
+    cheaper to read, such as the scan that ``left`` was joined from: hot keys
+    are looked for in it, and ``left`` is not run for that.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join keeps left rows, {how!r} does not")
@@ -140,7 +162,7 @@ def skew_join(
         # The optimizer broadcasts it: the left side is not shuffled at all.
         hot = None
     else:
-        hot = hot_keys(left, on, hot_rows, small_bytes)
+        hot = hot_keys(left if same_keys is None else same_keys, on, hot_rows, small_bytes)
     return salted_join(left, right, on, how, hot)
 
 

@@ -139,3 +139,23 @@ def test_calls_that_do_not_scale_are_absent():
         "scale.py", "operators/merge.py", "operators/layout.py", "operators/quality.py", "operators/windows.py",
         "plans/models.py",
     }
+
+
+def test_metrics_are_observed_while_a_run_writes(spark):
+    """Counts of a run equal those of its actions, its joins run once, and a first run is not slow."""
+    from sedimenta.operators import merge as mg
+    from sedimenta.scale import work_path
+
+    day = lambda n: F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(n), F.lit(0), F.lit(0), F.lit(0))
+    silver, state, rejects = (work_path(spark, n) for n in ("silver", "state", "rejects"))
+    mg.write_bucketed(spark.range(10).select("id", F.lit("a").alias("op"), day(1).alias("ts")), silver, ["id"], 4)
+    inc.append_state(spark, state, "j", "2024-01-01 00:00:00", "2024-01-01 00:00:00", 10, 0)
+    rows = [(1, "a"), (1, "a"), (2, "x"), (20, "a"), (21, "x"), (None, "a")]
+    log = spark.createDataFrame(rows, "id long, op string").withColumn("ts", day(5))
+    r = inc.run_incremental(spark, log, silver, state, "j", ["id"], "ts", ["op"], 0, 4, rejects, F.col("s.op") == "x", iter([2.0, 5.0]).__next__)
+    assert (r.read, r.rejected, r.processed, r.inserted, r.updated, r.deleted, r.total, r.seconds) == (6, 1, 4, 1, 1, 1, 10, 3.0)
+    runs = inc.run_metrics(spark.read.schema(inc.STATE_SCHEMA).parquet(state), "j").collect()
+    assert [tuple(x)[2:] for x in runs] == [(4, 6, 1, 1, 1, 1, 10, 3.0)]
+    alerts = {x.alert: x.fired for x in inc.alerts_of_last_run(
+        spark.read.schema(inc.STATE_SCHEMA).parquet(state), "j", day(5)).collect()}
+    assert alerts == {"watermark_lag": False, "no_records": False, "duplicate_rate": True, "delete_rate": True, "slow_run": False}

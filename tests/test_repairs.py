@@ -10,6 +10,8 @@ from sedimenta.operators import layout, merge as mg, quality as q
 from sedimenta.operators.percentiles import exact_percentiles
 from sedimenta.operators.windows import global_rank
 from sedimenta.plans import models
+from sedimenta import scale
+from sedimenta.registry import QUERIES
 from sedimenta.scale import hot_keys, work_path
 
 
@@ -104,3 +106,30 @@ def test_zorder_refuses_too_many_bits(spark):
     df = spark.range(4).select(*[F.col("id").alias(f"c{i}") for i in range(9)])
     with pytest.raises(ValueError):
         layout.zorder(df, df.columns, 2)
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_star_queries_are_built_without_joins(spark, monkeypatch, many):
+    """No plan with a join runs before the result is asked for; where tables are
+    large, single scans are sampled."""
+    seen = []
+    collect = type(spark.range(0)).collect
+    monkeypatch.setattr(type(spark.range(0)), "collect", lambda df: seen.append(str(df._jdf.queryExecution().optimizedPlan().toString())) or collect(df))
+    if many:
+        monkeypatch.setattr(scale, "HOT_ROWS", 500)
+        monkeypatch.setattr(scale, "SAMPLE_HITS", 250)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("revenue_by_category", "daily_summary", "sales_by_category_daily", "fact_sales", "rfm_features"):
+            QUERIES[name](spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert any("Sample" in p for p in seen) == many and not [p for p in seen if "Join" in p]
+
+
+def test_rows_come_from_footers(spark):
+    path = work_path(spark, "rows")
+    spark.range(1000).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert scale.rows_in_files(df.join(df.select("id"), "id")) == 1000 and scale.rows_in_files(spark.range(3)) is None
