@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.store import Store, column
+from sedimenta.llm.store import Store, column, rows_in
 
 REACH = 200
 
@@ -67,7 +67,9 @@ def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """``(row, doc_id, spans)`` per row of ``docs(doc_id, text)``; ``spans`` is an
     array of (start, order, kind, end) in code points, sorted.
 
-    NULL and empty texts have no spans.  ``doc_id`` is passed on, NULL and
+    Parts whose spans overlap never complete each other: one value is not two.
+    NULL and empty texts have no spans; a text of any length is one row whose
+    parts are one window.  ``doc_id`` is passed on, NULL and
     repeated ones too; other columns are ignored.
     """
     store = Store(docs.sparkSession, "secrets")
@@ -88,17 +90,22 @@ def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
         role = F.when(F.col("kind") == kind, F.lit(r)).otherwise(role)
         order = F.when(F.col("kind") == kind, F.lit(n)).otherwise(order)
     parts = parts.filter(F.col("value") >= least).withColumn("role", role).withColumn("n", order)
-    by = Window.partitionBy("row").orderBy("start", "n")
+    # Starts and ends in order, ends first: what ended before a start, and what starts after an end.
+    ends = F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(True).alias("opens")),
+                             F.struct(F.col("end").alias("pos"), F.lit(False).alias("opens"))))
+    events = parts.withColumn("event", ends).select("row", "start", "n", "kind", "end", "role", "event.*")
+    by = Window.partitionBy("row").orderBy("pos", "opens")
     before, after = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
 
     def in_scope(role: str) -> Column:
         own = F.col("role") == role
-        last = F.max(F.when(own, F.col("end"))).over(before)
-        following = F.min(F.when(own, F.col("start"))).over(after)
-        return F.coalesce(F.col("start") - last <= reach, F.lit(False)) | F.coalesce(
-            following - F.col("end") <= reach, F.lit(False))
+        last = F.max(F.when(own & ~F.col("opens"), F.col("pos"))).over(before)
+        following = F.min(F.when(own & F.col("opens"), F.col("pos"))).over(after)
+        return F.coalesce(F.when(F.col("opens"), F.col("pos") - last).otherwise(following - F.col("pos")) <= reach, F.lit(False))
 
-    has = {r: in_scope(r) for r in ("ident", "secret")}
+    parts = events.withColumn("by_ident", in_scope("ident")).withColumn("by_secret", in_scope("secret")).groupBy(
+        "row", "start", "n", "kind", "end").agg(F.bool_or("by_ident").alias("by_ident"), F.bool_or("by_secret").alias("by_secret"))
+    has = {"ident": F.col("by_ident"), "secret": F.col("by_secret")}
     linked = (
         F.when(F.col("kind").isin(*BASE), F.lit(True)).when(F.col("kind") == "key", has["ident"])
         .when(F.col("kind") == "ident", has["secret"]).otherwise(has["ident"] & has["secret"]))
@@ -126,7 +133,7 @@ def secret_report(docs: DataFrame, reach: int = REACH) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = REACH) -> DataFrame:
     """The documents with every reported span replaced by ``mark``.
 
-    Overlapping spans are one.  All columns stay; ``n_chars``, where there is
+    Overlapping spans are one.  All columns stay, whatever their names; ``n_chars``, where there is
     one, follows the new text.
     """
     found = find_secrets(docs, reach).filter(F.size("spans") > 0).select("row", "doc_id", "text_hash", F.explode("spans").alias("s"))
@@ -136,17 +143,28 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = REACH) -> DataF
     fresh = F.when(reached.isNull() | (F.col("start") > reached), 1).otherwise(0)
     found = found.withColumn("fresh", fresh).withColumn("block", F.sum("fresh").over(by))
     found = found.groupBy("doc_id", "text_hash", "block").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    cuts = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.withColumn("_own", F.xxhash64(text)).join(
-        cuts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_h")), "left")
+    own, key, cut = (_free(docs, n) for n in ("own", "key", "cuts"))
+    cuts = Store(docs.sparkSession, "secrets").keep(found.groupBy(F.col("text_hash").alias(own), F.col("doc_id").alias(key)).agg(
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cut)))
+    # Texts without a secret are not shuffled.
+    marked = docs.withColumn(own, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    some = rows_in(marked, cuts, own).join(cuts, [own]).filter(F.col("doc_id").eqNullSafe(F.col(key)))
+    others = rows_in(marked, cuts, own).join(cuts.select(own, key), (marked[own] == cuts[own]) & marked["doc_id"].eqNullSafe(cuts[key]), "left_anti")
+    rest = rows_in(marked, cuts, own, "left_anti").unionByName(others).select(*docs.columns)
     built = F.aggregate(
-        "_cuts", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
+        cut, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
         lambda a, c: F.struct(c["end"].alias("at"), F.concat(
             a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), (c["start"] - a["at"]).cast("int")), F.lit(mark)).alias("out")),
         lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.lit(2**31 - 1))))
-    out = joined.withColumn("text", F.when(F.col("_cuts").isNotNull(), built).otherwise(F.col("text")))
+    some = some.withColumn("text", built)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cuts").isNotNull(), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        some = some.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return some.select(*docs.columns).union(rest)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name

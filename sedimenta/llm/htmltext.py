@@ -28,8 +28,9 @@ from sedimenta.llm.store import column
 SAMPLE = 200
 COMPOSED = 500
 
+# A quote opens a value only behind ``=``; elsewhere it is a character like any other.
 _TAG = re.compile(
-    r"<!--(?:.*?-->|.*)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?:/?[a-zA-Z!?][^>]*)?\Z", re.S)
+    r"<!--(?:.*?-->|.*)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)|[^>=]|=)*+)>|<(?:/?[a-zA-Z!?][^>]*)?\Z", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|data-part)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _BLANK = re.compile(r"\s+")
