@@ -6,11 +6,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.profile import percent, rows_of
 from sedimenta.operators.windows import latest_per_key
+from sedimenta.scale import durable
 
 # Fixed values of the order rules: e-mail pattern and allowed states.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
@@ -229,7 +230,12 @@ def quality_report(df: DataFrame, rules: list[tuple[Column, str]], key: str) ->
 
     One shuffle: valid rows are counted per key map-side.
     """
-    per_key = label_rules(df, rules).groupBy(key).agg(
+    return labelled_report(label_rules(df, rules), key)
+
+
+def labelled_report(labelled: DataFrame, key: str) -> DataFrame:
+    """``quality_report`` of rows that ``label_rules`` has labelled."""
+    per_key = labelled.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if("is_valid").alias("_ok")
     )
     one = per_key.agg(
@@ -262,12 +268,17 @@ class QualityGateError(RuntimeError):
 def write_if_good(
     df: DataFrame, rules: list[tuple[Column, str]], key: str, order: list[Column], threshold: float, path: str
 ) -> DataFrame:
-    """Write the clean, deduplicated rows, or raise and write nothing."""
-    result = quality_gate(quality_report(df, rules, key), threshold)
+    """Write the clean, deduplicated rows, or raise and write nothing.
+
+    The rows are labelled once and kept in the shared folder; the report and
+    the result come from there, so ``df`` is run a single time.
+    """
+    labelled = durable(label_rules(df, rules), "labelled")
+    result = quality_gate(labelled_report(labelled, key), threshold)
     row = result.first()
     if not row["passed"]:
         raise QualityGateError(f"quality rate {row['quality_rate']} is below {threshold}")
-    valid, _ = split_valid(label_rules(df, rules))
+    valid, _ = split_valid(labelled)
     latest_per_key(valid, [key], order).write.mode("overwrite").parquet(path)
     return result
 
@@ -364,6 +375,17 @@ def run_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     A rule that cannot be resolved on this table, or fails on one of its
     values, is reported as CRITICAL, and the others still run.
     """
+    good, _ = resolvable(df, rules)
+    counts = [F.count_if(F.expr(r.violation)) for r in good]
+    try:
+        found = list(df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)]).first()) if good else []
+    except PySparkException:
+        found = [_count_alone(df, c) for c in counts]  # one rule fails on a value: find it
+    return rule_results(df, rules, found)
+
+
+def resolvable(df: DataFrame, rules: list[Rule]) -> tuple[list[Rule], list[tuple]]:
+    """Rules whose columns and types fit the table, and the results of the others."""
     good, broken = [], []
     for r in rules:
         try:
@@ -371,19 +393,16 @@ def run_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
             good.append(r)
         except PySparkException as e:
             broken.append((r.name, False, f"Rule execution failed: {e.getCondition()}", "CRITICAL"))
-    schema = "rule_name string, is_valid boolean, message string, severity string"
-    failed = df.sparkSession.createDataFrame(broken, schema)
-    if not good:
-        return failed
-    counts = [F.count_if(F.expr(r.violation)) for r in good]
-    try:
-        found = list(df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)]).first())
-    except PySparkException:
-        found = [_count_alone(df, c) for c in counts]  # one rule fails on a value: find it
+    return good, broken
+
+
+def rule_results(df: DataFrame, rules: list[Rule], found: list[int | str]) -> DataFrame:
+    """Results from the violations (or the failure) of every resolvable rule."""
+    good, broken = resolvable(df, rules)
     broken += [(r.name, False, f"Rule execution failed: {n}", "CRITICAL") for r, n in zip(good, found) if isinstance(n, str)]
     ran = [(r.name, n == 0, "ok" if n == 0 else f"Found {n} violations", r.severity)
            for r, n in zip(good, found) if not isinstance(n, str)]
-    return df.sparkSession.createDataFrame(ran + broken, schema)
+    return df.sparkSession.createDataFrame(ran + broken, "rule_name string, is_valid boolean, message string, severity string")
 
 
 def _count_alone(df: DataFrame, violations: Column) -> int | str:
@@ -399,20 +418,34 @@ class ConstraintError(ValueError):
     """Rows violate a table constraint."""
 
 
+def _violated(checks: dict[str, str], not_null: list[str]) -> dict[str, Column]:
+    conditions = {n: ~F.expr(f"({c})") for n, c in checks.items()}
+    return conditions | {f"{c}_not_null": F.col(c).isNull() for c in not_null}
+
+
+def violation_counts(checks: dict[str, str], not_null: list[str]) -> dict[str, Column]:
+    """Violations of every constraint as an aggregate; NULL violates no CHECK."""
+    return {n: F.count_if(c) for n, c in _violated(checks, list(not_null)).items()}
+
+
 def constraint_violations(df: DataFrame, checks: dict[str, str], not_null: list[str]) -> DataFrame:
     """``constraint_name, violations``.  As in CHECK, NULL is no violation."""
-    conditions = {n: ~F.expr(f"({c})") for n, c in checks.items()}
-    conditions |= {f"{c}_not_null": F.col(c).isNull() for c in not_null}
-    return condition_counts(df, conditions).select(
+    return condition_counts(df, _violated(checks, not_null)).select(
         F.col("issue").alias("constraint_name"), F.col("n").alias("violations")
     )
 
 
+def raise_violations(counts: dict[str, int]) -> None:
+    """Raise with the constraints that have violations."""
+    bad = {n: v for n, v in counts.items() if v > 0}
+    if bad:
+        raise ConstraintError(", ".join(f"{n}: {v}" for n, v in bad.items()))
+
+
 def enforce(df: DataFrame, checks: dict[str, str], not_null: list[str] = ()) -> DataFrame:
     """``df`` if it satisfies all constraints, otherwise raise with the counts."""
-    bad = constraint_violations(df, checks, list(not_null)).filter("violations > 0").collect()
-    if bad:
-        raise ConstraintError(", ".join(f"{r['constraint_name']}: {r['violations']}" for r in bad))
+    found = constraint_violations(df, checks, list(not_null)).collect()
+    raise_violations({r["constraint_name"]: r["violations"] for r in found})
     return df
 
 
@@ -471,6 +504,29 @@ def apply_expectations(df: DataFrame, expects: list[Expect]) -> DataFrame:
     return out
 
 
+class ExpectationError(RuntimeError):
+    """Rows break an expectation whose action is ``fail``."""
+
+
+def observed_expectations(df: DataFrame, expects: list[Expect]) -> tuple[DataFrame, Observation]:
+    """The rows that pass every ``drop`` and ``fail`` expectation, and the
+    counts of all expectations, which are there once the rows were written."""
+    seen = Observation()
+    counts = [F.count_if(e.holds()).alias(f"p{i}") for i, e in enumerate(expects)]
+    out = df.observe(seen, F.count(F.lit(1)).alias("n"), *counts)
+    for e in expects:
+        if e.action != "warn":
+            out = out.filter(e.holds())
+    return out, seen
+
+
+def observed_metrics(spark: SparkSession, seen: Observation, expects: list[Expect]) -> DataFrame:
+    """``expectation_metrics`` from observed counts."""
+    got = seen.get
+    rows = [(e.name, e.action, got[f"p{i}"], got["n"] - got[f"p{i}"]) for i, e in enumerate(expects)]
+    return spark.createDataFrame(rows, "expectation string, action string, passed_records bigint, failed_records bigint")
+
+
 # --- monitoring series ------------------------------------------------------
 
 def daily_metrics(df: DataFrame, table: str, day: str) -> DataFrame:

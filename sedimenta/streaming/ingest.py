@@ -7,7 +7,9 @@ is in the checkpoint folder, so a run continues where the last one ended.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +17,7 @@ from sedimenta.functions.cleaning import split_valid
 from sedimenta.operators import merge as mg
 from sedimenta.operators import quality as q
 from sedimenta.operators.windows import latest_per_key
-from sedimenta.scale import durable
+from sedimenta.scale import durable, work_path
 
 
 def read_files(
@@ -52,12 +54,15 @@ def upsert(
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        keyed, unkeyed = split_valid(batch, keys)
-        if rejects_path is None and not unkeyed.isEmpty():
-            raise ValueError("rows without a key and no rejects_path")
-        if rejects_path is not None:
-            unkeyed.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        # One run of the batch: rows without a key are counted while the slice is written.
+        missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        seen = Observation()
+        keyed, _ = split_valid(batch.observe(seen, F.count_if(missing).alias("unkeyed")), keys)
         newest = durable(latest_per_key(keyed, keys, order), "batch")
+        if seen.get["unkeyed"]:
+            if rejects_path is None:
+                raise ValueError("rows without a key and no rejects_path")
+            split_valid(batch, keys)[1].write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
         mg.merge_into(batch.sparkSession, path, newest, keys, buckets, mg.newer(ts), delete_when)
 
     query = (
@@ -72,15 +77,25 @@ def with_expectations(
 ) -> None:
     """Write the rows that pass, and per batch the counts of every expectation.
 
+    The counts are observed while the rows are written, so a batch is run once.
     A batch has its own folder, which a repeated batch replaces.  A row that
-    breaks a ``fail`` expectation stops the stream before the batch is done.
+    breaks a ``fail`` expectation stops the stream: the counts of that batch are
+    written, its rows are not.
     """
+    stops = any(e.action == "fail" for e in expects)
 
     def check_batch(batch: DataFrame, batch_id: int) -> None:
-        q.apply_expectations(batch, expects).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        q.expectation_metrics(batch, expects).write.mode("overwrite").parquet(
-            f"{metrics_path}/batch={batch_id}"
-        )
+        spark, out = batch.sparkSession, f"{path}/batch={batch_id}"
+        rows, seen = q.observed_expectations(batch, expects)
+        # Rows of a batch that may yet fail wait where no reader looks.
+        pending = work_path(spark, "pending") if stops else out
+        rows.write.mode("overwrite").parquet(pending)
+        q.observed_metrics(spark, seen, expects).write.mode("overwrite").parquet(f"{metrics_path}/batch={batch_id}")
+        broken = [e.name for i, e in enumerate(expects) if e.action == "fail" and seen.get[f"p{i}"] < seen.get["n"]]
+        if broken:
+            raise q.ExpectationError(f"expectation failed: {', '.join(broken)}")
+        if stops:
+            spark.read.schema(rows.schema).parquet(pending).write.mode("overwrite").parquet(out)
 
     query = (
         stream.writeStream.foreachBatch(check_batch).option("checkpointLocation", checkpoint)

@@ -154,9 +154,68 @@ def test_stream_stops_at_a_failed_expectation(spark):
     spark.range(5).write.json(landing)
     stream = ingest.read_files(spark, landing, spark.range(1).schema).drop("source_file")
     with pytest.raises(Exception, match="expectation failed: small"):
-        ingest.with_expectations(stream, out, metrics, progress, [q.Expect("small", "id < 3", "fail")])
+        ingest.with_expectations(stream, out, metrics, progress, [q.Expect("small", "id < 3", "fail"), q.Expect("even", "id % 2 = 0", "drop")])
+    # The counts of the failed batch are there, its rows are not.
+    got = {r.expectation: (r.passed_records, r.failed_records) for r in spark.read.parquet(metrics).collect()}
+    assert got == {"small": (3, 2), "even": (3, 2)}
     with pytest.raises(Exception):
-        spark.read.parquet(metrics)
+        spark.read.parquet(out)
+
+
+def counting(df, name):
+    """``df`` whose rows are counted each time they are run."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def passed(x):
+        seen.add(1)
+        return x
+
+    return df.withColumn(name, passed.asNondeterministic()(F.col(name))), seen
+
+
+def test_stream_runs_a_batch_once(spark):
+    landing, progress = work_path(spark, "landing"), work_path(spark, "progress")
+    spark.range(40).coalesce(1).write.json(landing)
+    stream, seen = counting(ingest.read_files(spark, landing, spark.range(1).schema).drop("source_file"), "id")
+    out, metrics = work_path(spark, "out"), work_path(spark, "metrics")
+    ingest.with_expectations(stream, out, metrics, progress, [q.Expect("small", "id < 30", "drop"), q.Expect("low", "id < 5", "warn"), q.Expect("known", "id is not null", "fail")])
+    assert seen.value == 40 and spark.read.parquet(out).count() == 30
+    assert {r.expectation: r.failed_records for r in spark.read.parquet(metrics).collect()} == {"small": 10, "low": 35, "known": 0}
+
+
+@pytest.mark.parametrize("broken", [None, "cast(name as int) > 3"])
+def test_quality_run_reads_its_input_once(spark, broken):
+    from sedimenta.plans.quality_run import run_quality
+
+    df, seen = counting(spark.range(50).select("id", F.lit("x").alias("name"), F.lit("2024-01-01").cast("date").alias("day")), "id")
+    rules = [q.Rule("positive", "id < 0", "HIGH"), q.Rule("low", "id > 40", "LOW")] + ([q.Rule("broken", broken, "LOW")] if broken else [])
+    path = work_path(spark, "run")
+    log = {r.stage: (r.success, r.detail) for r in run_quality(
+        df, "t", path, ["id"], rules, q.Suite().not_null("id").unique("id"), {"low_ids": "id < 100"}, ["id"], "day").collect()}
+    assert all(ok for ok, _ in log.values()), log
+    assert log["rules"][1] == f"1 of {len(rules)} rules hold" and log["expectations"][1] == "2 of 2 expectations hold"
+    assert spark.read.parquet(f"{path}/data").count() == 50
+    # A rule that fails on a value stops the first write; the rows are kept by a second one.
+    assert seen.value == 50 if broken is None else seen.value <= 100
+
+
+def test_constraints_stop_a_run_before_its_data(spark):
+    from sedimenta.plans.quality_run import run_quality
+
+    df = spark.range(5).select("id", F.lit("2024-01-01").cast("date").alias("day"))
+    path = work_path(spark, "run")
+    log = {r.stage: (r.success, r.detail) for r in run_quality(df, "t", path, ["id"], [], q.Suite().not_null("id"), {"low": "id < 3"}, [], "day").collect()}
+    assert log["write"] == (False, "ConstraintError: low: 2") and log["monitoring"] == (False, "skipped")
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{path}/data")
+
+
+def test_gate_reads_its_input_once(spark):
+    df, seen = counting(spark.range(20), "id")
+    path = work_path(spark, "gate")
+    q.write_if_good(df, [(F.col("id") < 0, "negative")], "id", [F.desc("id")], 85.0, path)
+    assert seen.value == 20 and spark.read.parquet(path).count() == 20
 
 
 def test_stream_upsert_twice_is_the_same(spark):
