@@ -338,7 +338,19 @@ def multiset_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def checksum(df: DataFrame) -> DataFrame:
-    """Order-independent checksum and row count of a table; the hash skips
-    NULLs, so their places are hashed too."""
-    h = F.xxhash64(*df.columns, *[F.col(c).isNull() for c in df.columns]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(h).alias("checksum"))
+    """Order-independent checksum and row count of a table.
+
+    A row's digest is the md5 of its values, each with its length, ``-`` for
+    NULL; four 32-bit parts of it are summed over the rows, so copies count and
+    any engine can compute it.  Values are taken as text; for floating-point
+    columns that text is Spark's.
+    """
+    fields = []
+    for c in df.columns:
+        text = F.col(c).cast("string")
+        fields.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    rows = df.select(F.md5(F.concat(*fields).cast("binary")).alias("d"))
+    part = lambda i: F.sum(F.conv(F.substring("d", 8 * i + 1, 8), 16, 10).cast("decimal(20,0)"))
+    # 32 bits a part: sums of up to 2**32 rows fit 20 digits.
+    parts = [F.lpad(F.coalesce(part(i), F.lit(0)).cast("string"), 20, "0") for i in range(4)]
+    return rows.agg(F.count(F.lit(1)).alias("row_count"), F.concat_ws("-", *parts).alias("checksum"))

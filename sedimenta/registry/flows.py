@@ -94,6 +94,20 @@ def compact(spark, sf_dir):
     return out.select(*[F.col(c).cast("bigint").alias(c) for c in out.columns])
 
 
+@query("compact_partitions", f"""
+SELECT year(order_date)::INT AS year, 5::BIGINT AS files_before, 1::BIGINT AS files_after, COUNT(*) AS order_count FROM {ORDERS} GROUP BY 1""")
+def compact_partitions(spark, sf_dir):
+    """Five files in every folder of a year become one each; the folders stay."""
+    small, new = work_path(spark, "small-files"), work_path(spark, "compact")
+    orders = shapes.orders(spark, sf_dir).withColumn("year", F.year("order_date"))
+    orders.repartition(5).write.partitionBy("year").parquet(small)
+    layout.compact(spark, small, new)
+    files = lambda path, name: spark.read.parquet(path).groupBy("year").agg(
+        F.count_distinct(F.col("_metadata.file_path")).alias(name), F.count(F.lit(1)).alias(f"rows_{name}"))
+    return files(small, "files_before").join(files(new, "files_after"), "year").select(
+        "year", "files_before", "files_after", F.col("rows_files_after").alias("order_count"))
+
+
 def clustered(spark, sf_dir):
     path = work_path(spark, "zorder")
     lines = shapes.table(spark, sf_dir, "lineitem")
@@ -112,11 +126,20 @@ def zorder_layout(spark, sf_dir):
     )
 
 
-@query("zorder_file_ranges")
+@query("zorder_file_ranges", """
+SELECT COUNT(*) AS line_count, min(l_shipdate) AS first_date, max(l_shipdate) AS last_date, min(l_partkey) AS first_part, max(l_partkey) AS last_part,
+  16::BIGINT AS files, TRUE AS narrow_dates, TRUE AS narrow_parts FROM lineitem""")
 def zorder_file_ranges(spark, sf_dir):
-    """Range of both columns in every file of the clustered copy."""
-    return clustered(spark, sf_dir).groupBy(F.col("_metadata.file_name").alias("file")).agg(
-        F.min("l_shipdate").alias("first_date"), F.max("l_shipdate").alias("last_date"),
-        F.min("l_partkey").alias("first_part"), F.max("l_partkey").alias("last_part"),
-        F.count(F.lit(1)).alias("line_count"),
-    )
+    """The files together span both columns; a value of either lies in the
+    ranges of half of the files at most, on average over the files' own values."""
+    per_file = clustered(spark, sf_dir).groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"), F.min("l_partkey").alias("c"), F.max("l_partkey").alias("d"),
+        F.count(F.lit(1)).alias("n"))
+    day = lambda x: F.unix_micros(F.col(x).cast("timestamp"))
+    one = per_file.agg(
+        F.sum("n").alias("line_count"), F.min("a").alias("first_date"), F.max("b").alias("last_date"), F.min("c").alias("first_part"),
+        F.max("d").alias("last_part"), F.count(F.lit(1)).alias("files"), F.avg(day("b") - day("a")).alias("dates"), F.avg(F.col("d") - F.col("c")).alias("parts"))
+    return one.select(
+        "line_count", "first_date", "last_date", "first_part", "last_part", "files",
+        (F.col("dates") <= (day("last_date") - day("first_date")) / 2).alias("narrow_dates"),
+        (F.col("parts") <= (F.col("last_part") - F.col("first_part")) / 2).alias("narrow_parts"))

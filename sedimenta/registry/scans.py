@@ -81,6 +81,42 @@ def scan_parquet_roundtrip(spark, sf_dir):
     return files.read_parquet(spark, path)
 
 
+def _csv_with_defects(spark, sf_dir, broken=True):
+    """Orders as text of which some amounts and dates do not parse."""
+    k = F.col("order_id")
+    bad = lambda every, text, c: F.when((k % every == 0) & F.lit(broken), text).otherwise(F.col(c).cast("string"))
+    path = work_path(spark, "defects")
+    shapes.orders(spark, sf_dir).select(
+        "order_id", "customer_id", bad(97, "n/a", "amount").alias("amount"), bad(101, "no date", "order_date").alias("order_date"), "status",
+    ).write.csv(path, header=True)
+    return path
+
+
+_TEXT = (f"(SELECT order_id, customer_id, order_id % 97 = 0 AS no_amount, order_id % 101 = 0 AS no_date, amount, order_date, status, order_id || ',' || customer_id || ',' || "
+         f"CASE WHEN order_id % 97 = 0 THEN 'n/a' ELSE amount::VARCHAR END || ',' || CASE WHEN order_id % 101 = 0 THEN 'no date' ELSE order_date::VARCHAR END || ',' || status AS record FROM {ORDERS})")
+
+
+@query("scan_quarantine", f"""
+SELECT order_id, CASE WHEN NOT no_amount THEN CAST(amount AS DOUBLE) END AS amount, CASE WHEN NOT no_date THEN order_date END AS order_date,
+  CASE WHEN no_amount OR no_date THEN record END AS record FROM {_TEXT}""")
+def scan_quarantine(spark, sf_dir):
+    """Rows that fit the schema and, with their raw record, those that do not."""
+    good, bad = files.quarantine(
+        spark, _csv_with_defects(spark, sf_dir), ORDER_SCHEMA, work_path(spark, "good"), work_path(spark, "bad"))
+    columns = ["order_id", "amount", "order_date"]
+    return good.select(*columns, F.lit(None).cast("string").alias("record")).union(bad.select(*columns, "record"))
+
+
+@query("scan_failfast", f"""
+SELECT 'defects' AS file, TRUE AS failed, COUNT(*) AS bad_records, min(record) AS first_record FROM {_TEXT} WHERE no_amount OR no_date
+UNION ALL SELECT 'clean', FALSE, 0, NULL""")
+def scan_failfast(spark, sf_dir):
+    """A fail-fast read stops at the first file and not at the second."""
+    report = lambda name, broken: files.failfast_report(
+        spark, _csv_with_defects(spark, sf_dir, broken), ORDER_SCHEMA).select(F.lit(name).alias("file"), "*")
+    return report("defects", True).union(report("clean", False))
+
+
 @query("bronze_append", f"""
 SELECT order_id, customer_id, CAST(amount AS DOUBLE) AS amount, order_date, status, 1 AS batch FROM {ORDERS} WHERE order_date < DATE '1998-01-01'
 UNION ALL

@@ -3,10 +3,14 @@ except ``read_csv_inferred`` where inference is the feature."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta.scale import durable
+
 CORRUPT = "_corrupt_record"
 
 
@@ -28,6 +32,34 @@ def read_csv_failfast(spark: SparkSession, path: str, schema: T.StructType) -> D
     return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
 
 
+def quarantine(spark: SparkSession, path: str, schema: T.StructType, good_path: str, bad_path: str) -> tuple[DataFrame, DataFrame]:
+    """Split a CSV into rows that fit the schema and a quarantine table with the
+    raw records of the others, their parsed fields and their file.
+
+    The text is parsed once; both tables are written from the parsed copy.
+    """
+    parsed = read_csv(spark, path, schema, keep_corrupt=True).withColumn("source_file", F.col("_metadata.file_name"))
+    parsed = durable(parsed, "parsed")
+    good, bad = parsed.filter(F.col(CORRUPT).isNull()), parsed.filter(F.col(CORRUPT).isNotNull())
+    good.drop(CORRUPT, "source_file").write.mode("overwrite").parquet(good_path)
+    bad.withColumnRenamed(CORRUPT, "record").write.mode("overwrite").parquet(bad_path)
+    return read_parquet(spark, good_path), read_parquet(spark, bad_path)
+
+
+def failfast_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``failed, bad_records, first_record``: whether a fail-fast read of the
+    whole CSV stops, and the records it stops at (the smallest one as text).
+    A file that is read to its end is read once."""
+    try:
+        read_csv_failfast(spark, path, schema).write.format("noop").mode("overwrite").save()
+    except (PySparkException, Py4JJavaError):
+        bad = read_csv(spark, path, schema, keep_corrupt=True).filter(F.col(CORRUPT).isNotNull())
+        # All columns are parsed: a record counts as bad by any of them.
+        rows = bad.select(CORRUPT, F.struct(*[F.col(c) for c in schema.names]).isNotNull().alias("seen"))
+        return rows.agg(F.lit(True).alias("failed"), F.count(CORRUPT).alias("bad_records"), F.min(CORRUPT).alias("first_record"))
+    return spark.range(1).select(F.lit(False).alias("failed"), F.lit(0).cast("bigint").alias("bad_records"), F.lit(None).cast("string").alias("first_record"))
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One JSON object per line."""
     return spark.read.schema(schema).json(path)

@@ -231,3 +231,17 @@ def test_stream_upsert_twice_is_the_same(spark):
         ingest.upsert(stream, silver, work_path(spark, "progress"), ["k"], "ts", [F.desc("ts")], 4)
         got = sorted(tuple(r) for r in mg.read_bucketed(spark, silver).select("k", "ts", "v").collect())
         assert got == [(1, 3, "e"), (2, 5, "b"), (3, 1, "d")]
+
+
+def test_quarantine_of_the_csv(spark, bad_csv):
+    good, bad = files.quarantine(spark, bad_csv, ORDERS, work_path(spark, "good"), work_path(spark, "bad"))
+    assert good.count() == 8 and good.columns == ORDERS.names
+    got = {r.order_id: (r.record, r.order_date) for r in bad.collect()}
+    assert got == {2007: ("2007,207,2,199.99,invalid-date", None), 2009: ("2009,209,null,125.50,2024-02-05", got[2009][1])}
+
+
+def test_failfast_report(spark, bad_csv, tmp_path):
+    assert tuple(files.failfast_report(spark, bad_csv, ORDERS).first()) == (True, 2, "2007,207,2,199.99,invalid-date")
+    clean = tmp_path / "clean.csv"
+    clean.write_text("order_id,product_id,quantity,price,order_date\n1,2,3,4.5,2024-01-01\n")
+    assert tuple(files.failfast_report(spark, str(clean), ORDERS).first()) == (False, 0, None)
