@@ -2,9 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from sedimenta.functions import text as tx
+from sedimenta.plans import features as ft
 from sedimenta.registry.base import query
 from sedimenta.registry.business import DIM
-from sedimenta.registry.sqlshapes import CUSTOMERS, ORDERS
+from sedimenta.registry.insight import _CUTOFF_ROWS, _RULE_SQL, ruled, training
+from sedimenta.registry.sqlshapes import CUSTOMERS, ORDERS, PRODUCTS
 from sedimenta.sources import shapes, tables
 
 _DAYS = "order_id, customer_id, CAST(amount AS DOUBLE) AS amount, order_date"
@@ -45,6 +48,31 @@ def table_create_as_select(spark, sf_dir):
         ON p.category = c.category""").withColumn("category_no", F.col("category_no").cast("bigint"))
 
 
+_KIND = "CASE " + " ".join(f"WHEN regexp_matches(lower(product_name), '{'|'.join(ws)}') THEN '{c}'" for c, ws in tx.CATEGORY_WORDS.items()) + f" ELSE '{tx.OTHER}' END"
+
+
+@query("table_gold_ai", f"""
+WITH o AS (SELECT event_id, user_id, predicted_fraud, CASE WHEN predicted_fraud = 1 THEN 'High Risk' WHEN anomaly_score < -0.3 THEN 'Medium Risk' ELSE 'Low Risk' END AS risk_level FROM {_RULE_SQL}),
+p AS (SELECT {_KIND} AS kind FROM {PRODUCTS}), c AS ({_CUTOFF_ROWS})
+SELECT 'orders_ai' AS gold, risk_level AS label, COUNT(*) AS n FROM o GROUP BY 2
+UNION ALL SELECT 'customers_ai', CASE churned WHEN 1 THEN 'churned' ELSE 'kept' END, COUNT(*) FROM c GROUP BY 2
+UNION ALL SELECT 'products_ai', kind, COUNT(*) FROM p GROUP BY 2""")
+def table_gold_ai(spark, sf_dir):
+    """Three gold tables: orders with risk, customers with features, products with a category; read back by name."""
+    db = tables.database(spark)
+    checked = ruled(spark, sf_dir)
+    risk = ft.risk_level(F.col("predicted_fraud"), F.col("anomaly_score"))
+    tables.overwrite(checked.withColumn("risk_level", risk), f"{db}.orders_ai")
+    tables.overwrite(training(spark, sf_dir), f"{db}.customers_ai")
+    named = tx.classify(shapes.products(spark, sf_dir), "product_name")
+    tables.overwrite(named, f"{db}.products_ai")
+    kept = F.when(F.col("churned") == 1, "churned").otherwise("kept")
+    labels = {"orders_ai": F.col("risk_level"), "customers_ai": kept, "products_ai": F.col("ai_category")}
+    counts = [spark.table(f"{db}.{t}").groupBy(c.alias("label")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("gold"), "label", "n")
+              for t, c in labels.items()]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
 @query("table_insert_into", f"""
 SELECT 'DEL-' || customer_id AS request_id, customer_id, email, 'pending' AS status, CAST(NULL AS DATE) AS completed_on FROM {CUSTOMERS} WHERE NOT consent_marketing AND NOT consent_data_sharing
 UNION ALL SELECT 'DEL-1', 'CUST''1', NULL, 'completed', DATE '2024-01-31'

@@ -167,12 +167,17 @@ def audit_daily(spark, sf_dir):
     return g.audit_day(log(spark, sf_dir), ["user_email", "user_role", "action_type"])
 
 
-@query("audit_suspicious", f"""
-SELECT user_email, user_role, COUNT(DISTINCT table_name) AS tables_accessed, SUM(row_count)::BIGINT AS total_rows_accessed, COUNT(*) AS query_count,
-  MIN("timestamp") AS first_access, MAX("timestamp") AS last_access FROM {AUDIT}
-WHERE "timestamp" >= {EVENTS_END} - INTERVAL 24 HOUR AND success GROUP BY 1, 2 HAVING SUM(row_count) > 10000""")
+# Metric, amount, hours looked back, usual amount.
+VOLUMES = [("rows_1h", "row_count", 1, 500), ("rows_24h", "row_count", 24, 10000), ("accesses_24h", "1", 24, 2), ("rows_7d", "row_count", 168, 40000)]
+
+
+@query("audit_suspicious", "\nUNION ALL\n".join(f"""
+SELECT user_email, user_role, '{name}' AS metric, SUM({amount})::BIGINT AS observed, {usual}::BIGINT AS usual FROM {AUDIT}
+WHERE success AND "timestamp" >= {EVENTS_END} - INTERVAL {hours} HOUR GROUP BY 1, 2 HAVING SUM({amount}) > {usual}""" for name, amount, hours, usual in VOLUMES))
 def audit_suspicious(spark, sf_dir):
-    return g.suspicious(log(spark, sf_dir), since(spark, sf_dir, "24 HOUR"), 10000)
+    """Users above the usual amount of an hour, a day or a week."""
+    return g.unusual_volumes(log(spark, sf_dir), [
+        g.Volume(name, amount, since(spark, sf_dir, f"{hours} HOUR"), usual) for name, amount, hours, usual in VOLUMES])
 
 
 @query("audit_failed", f"""

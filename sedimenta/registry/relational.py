@@ -1,6 +1,7 @@
 """Projection, filter, join, aggregate, sort, set and scalar operators."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimenta.functions import cleaning
 from sedimenta.operators import merge as mg
@@ -350,16 +351,20 @@ def sales_totals(spark, sf_dir):
     )
 
 
-_NUM = [("o_totalprice", "orders"), ("o_custkey", "orders")]
+_NUM = [*[(c, "orders") for c in ("o_orderkey", "o_custkey", "o_totalprice")],
+        *[(c, "lineitem") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")]]
 
 
 @query("describe_long", "\nUNION ALL\n".join(f"""
 SELECT '{c}' AS "column", COUNT({c}) AS "count", round(avg(CAST({c} AS DOUBLE)), 4) AS mean,
   round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM {t}""" for c, t in _NUM))
 def describe_long(spark, sf_dir):
+    """Every numeric column of both tables, found by type."""
+    numeric = lambda df: [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     from sedimenta.operators.profile import describe_numbers
 
-    return describe_numbers(shapes.table(spark, sf_dir, "orders"), [c for c, _ in _NUM])
+    orders, lines = (shapes.table(spark, sf_dir, t) for t in ("orders", "lineitem"))
+    return describe_numbers(orders, numeric(orders)).union(describe_numbers(lines, numeric(lines)))
 
 
 @query("summary_quartiles", """

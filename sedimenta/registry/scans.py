@@ -134,9 +134,10 @@ def bronze_append(spark, sf_dir):
 @query("write_partitioned", f"""
 SELECT year(order_date) AS year, month(order_date) AS month, COUNT(*) AS order_count,
   CAST(SUM(amount) AS DOUBLE) AS revenue
-FROM {ORDERS} WHERE year(order_date) = 1997 GROUP BY ALL""")
+FROM {ORDERS} GROUP BY ALL""")
 def write_partitioned(spark, sf_dir):
-    """Write by year and month; the read opens the directories of one year."""
+    """Write by year and month and read every directory; a year's filter opens
+    its own only (see the tests)."""
     df = (
         shapes.orders(spark, sf_dir)
         .withColumn("year", F.year("order_date"))
@@ -145,7 +146,6 @@ def write_partitioned(spark, sf_dir):
     path = files.write_partitioned(df, work_path(spark, "by-month"), ["year", "month"])
     return (
         files.read_parquet(spark, path)
-        .filter(F.col("year") == 1997)
         .groupBy(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"))
         .agg(F.count(F.lit(1)).alias("order_count"), F.sum("amount").cast("double").alias("revenue"))
     )
