@@ -158,7 +158,7 @@ def _stacked(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
 def isolation_score(nodes: pd.DataFrame, columns: list[str], size: int = SAMPLE_ROWS):
     """A vectorised column function: the higher, the more unusual the row."""
     forest = _stacked(nodes)
-    norm = float(average_path(size))
+    norm = float(average_path(max(size, 2)))
 
     @F.pandas_udf("double")
     def score(*values: pd.Series) -> pd.Series:
@@ -194,7 +194,9 @@ def detect_anomalies(
     """
     rows = durable(rows, "features")
     nodes = fit_isolation_forest(rows, key, columns, trees, size)
-    scored = durable(rows.withColumn("_s", -isolation_score(nodes, columns, size)), "scores")
+    # A tree over fewer rows than its sample asks for is as deep as those rows make it.
+    grown = min(size, rows.count())
+    scored = durable(rows.withColumn("_s", -isolation_score(nodes, columns, grown)), "scores")
     offset = exact_percentiles(scored, [], "_s", {"cut": contamination}).first()["cut"]
     return scored.withColumn("anomaly_score", F.col("_s") - F.lit(offset)).withColumn(
         "predicted_fraud", (F.col("anomaly_score") < 0).cast("int")

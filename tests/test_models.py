@@ -28,6 +28,16 @@ def test_isolation_forest_finds_outliers(spark, fraud):
     assert diff.filter(F.abs(F.col("anomaly_score") - F.col("b")) > 1e-12).isEmpty()
 
 
+def test_few_rows_have_scores_of_their_size(spark, fraud):
+    """With 40 rows the mean depth is that of 40 rows: ordinary rows score near a half, not below."""
+    few = fraud.filter("id < 39 or id = 960")
+    nodes = models.fit_isolation_forest(few, "id", ["amount", "hour"], trees=50)
+    got = {r.id: r.s for r in few.select("id", models.isolation_score(nodes, ["amount", "hour"], 40).alias("s")).collect()}
+    assert got[960] == max(got.values()) > 0.6 and 0.4 < np.median(list(got.values())) < 0.55
+    flagged = models.detect_anomalies(few, "id", ["amount", "hour"], 0.02, trees=50).filter("predicted_fraud = 1")
+    assert [r.id for r in flagged.collect()] == [960]
+
+
 def test_average_path():
     assert models.average_path([0, 1, 2]).tolist() == [0.0, 0.0, 1.0]
     assert models.average_path(256) == pytest.approx(10.24, abs=0.02)
