@@ -50,6 +50,8 @@ PARAPHRASED = 0.6
 ANSWERED = 0.5
 # Queries are compared in groups of so many.
 ITEMS = 4096
+# Rows of tokens looked at together.
+ROWS = 1024
 
 
 class Lexicon:
@@ -116,37 +118,99 @@ def _by_block(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return row, block, word, np.flatnonzero(fresh)
 
 
+def _lags(block: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs within a block, by their distance; ``block`` are the
+    sorted block numbers of the places."""
+    far, lag = np.arange(len(block)), 0
+    while len(far):
+        lag += 1
+        far = far[far >= lag]
+        far = far[block[far] == block[far - lag]]
+        yield far, far - lag
+
+
 def _document_frequency(batches, n_words):
     total = np.zeros(n_words, dtype=np.int64)
     for batch in batches:
-        row, _, word, first = _by_block(batch)
-        if len(row):
-            number = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
-            total += np.bincount(np.unique(number * n_words + word) % n_words, minlength=n_words)
+        for at in range(0, batch.num_rows, ROWS):
+            _, _, word, first = _by_block(batch.slice(at, ROWS))
+            if len(word):
+                again = np.zeros(len(word), dtype=bool)
+                for here, there in _lags(np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))):
+                    again[here] |= word[here] == word[there]
+                total += np.bincount(word[~again], minlength=n_words)
     own = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(total[own])], ["word", "df"])
 
 
 # Words whose rows of the sketch travel together.
 CHUNK = 256
+# Words whose pairs are counted in a table of 32 MB.
+OFTEN = 2048
+# Places multiplied at a time.
+PLACES = 8192
+
+
+def _runs(number: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``PLACES`` places that cut no block."""
+    low = 0
+    while low < len(number):
+        last = number[min(low + PLACES, len(number)) - 1]
+        high = int(np.searchsorted(number, last, side="right"))
+        yield low, high
+        low = high
+
+
+def _sums(rows: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of rows with equal numbers (sorted), and the numbers."""
+    first = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
+    return np.add.reduceat(rows, first, axis=0), number[first]
+
+
+def _add_rows(total, scaled, word, place, number) -> None:
+    all_words, blocks = _sums(scaled[word], number)
+    other = place < 0
+    seldom, _ = _sums(scaled[word[other]], number[other])
+    at = np.searchsorted(blocks, number)
+    rows = np.where(other[:, None], all_words[at], seldom[at])
+    order = np.argsort(word, kind="stable")
+    added, own = _sums(rows[order], word[order])
+    total[own] += added
 
 
 def _sketch(batches, shared):
-    """This partition's part of A.T @ (A @ omega), in chunks of words."""
+    """This partition's part of A.T @ (A @ omega), in chunks of words.
+
+    Pairs of the ``OFTEN`` most frequent words are counted and multiplied once
+    at the end; only blocks with another word are multiplied one by one.
+    """
     weight, omega = shared.value
     total = np.zeros(omega.shape, dtype=np.float64)
     scaled = (omega * weight[:, None]).astype(np.float32)
+    often = np.argsort(weight, kind="stable")[:OFTEN]
+    rank = np.full(len(weight), -1)
+    rank[often] = np.arange(len(often))
+    pairs = np.zeros(len(often) ** 2, dtype=np.int64)
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            _, _, word, first = _by_block(batch.slice(at, 512))
+        for at in range(0, batch.num_rows, ROWS):
+            _, _, word, first = _by_block(batch.slice(at, ROWS))
             if not len(word):
                 continue
             # A word counts as often as it stands in the block; the second weight comes last.
-            rows = np.add.reduceat(scaled[word], first, axis=0)
             number = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
-            order = np.argsort(word, kind="stable")
-            begin = np.flatnonzero(np.concatenate(([True], np.diff(word[order]) != 0)))
-            total[word[order][begin]] += np.add.reduceat(rows[number[order]], begin, axis=0)
+            place = rank[word]
+            own, block = place[place >= 0], number[place >= 0]
+            np.add.at(pairs, own * len(often) + own, 1)
+            for here, there in _lags(block):
+                np.add.at(pairs, own[here] * len(often) + own[there], 1)
+                np.add.at(pairs, own[there] * len(often) + own[here], 1)
+            seldom = np.zeros(len(first), dtype=bool)
+            seldom[number[place < 0]] = True
+            # In blocks with a seldom word: that word with all words, the others with it.
+            word, place, number = word[seldom[number]], place[seldom[number]], number[seldom[number]]
+            for low, high in _runs(number):
+                _add_rows(total, scaled, word[low:high], place[low:high], number[low:high])
+    total[often] += pairs.reshape(len(often), -1).astype(np.float32) @ scaled[often]
     total *= weight[:, None]
     chunks = [c for c in range(0, len(total), CHUNK) if total[c:c + CHUNK].any()]
     yield pa.RecordBatch.from_arrays([
@@ -167,31 +231,41 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(batches, shared):
-    basis, queries, length, item_of = shared.value
-    smallest = length[length > 0].min() * ENERGY if (length > 0).any() else np.inf
+    basis, most, queries, length, item_of = shared.value
     for batch in batches:
         doc, start, item, cosine = [], [], [], []
-        for at in range(0, batch.num_rows, 512):
-            row, block, word, first = _by_block(batch.slice(at, 512))
+        for at in range(0, batch.num_rows, ROWS):
+            row, block, word, first = _by_block(batch.slice(at, ROWS))
             if not len(word):
                 continue
-            own = np.add.reduceat(basis[word], first, axis=0)
             r, b = row[first], block[first]
             # Passage i is block i and, where it follows, the next one.
-            passage = own.copy()
-            joined = np.flatnonzero((r[1:] == r[:-1]) & (b[1:] == b[:-1] + 1))
-            passage[joined] += own[joined + 1]
+            joined = np.zeros(len(first), dtype=bool)
+            joined[:-1] = (r[1:] == r[:-1]) & (b[1:] == b[:-1] + 1)
+            # No query can take a passage whose words add up to less; the others are projected.
+            bound = np.add.reduceat(most[word], first)
+            bound[:-1] += np.where(joined[:-1], bound[1:], 0)
+            may = np.flatnonzero(bound >= ENERGY * 0.999)
+            if not len(may):
+                continue
+            needed = np.zeros(len(first), dtype=bool)
+            needed[may] = True
+            needed[may[joined[may]] + 1] = True
+            number = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
+            chosen = needed[number]
+            own, blocks = _sums(basis[word[chosen]], number[chosen])
+            passage = own[np.searchsorted(blocks, may)]
+            passage[joined[may]] += own[np.searchsorted(blocks, may[joined[may]] + 1)]
             norm = np.sqrt((passage**2).sum(1))
-            may = np.flatnonzero(norm >= smallest)
             for low in range(0, len(queries), ITEMS):
                 q, size = queries[low:low + ITEMS], length[low:low + ITEMS]
-                dot = passage[may] @ q.T
-                fits = (dot >= COSINE * norm[may][:, None] * size) & (dot >= ENERGY * size**2) & (size > 0)
+                dot = passage @ q.T
+                fits = (dot >= COSINE * norm[:, None] * size) & (dot >= ENERGY * size**2) & (size > 0)
                 p, i = np.nonzero(fits)
                 doc.append(at + r[may[p]])
                 start.append(b[may[p]] * BLOCK)
                 item.append(item_of[low + i])
-                cosine.append(dot[p, i] / (norm[may[p]] * size[i]))
+                cosine.append(dot[p, i] / (norm[p] * size[i]))
         if doc:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array(np.concatenate(doc))), pa.array(np.concatenate(item).astype(np.int32)),
@@ -285,6 +359,20 @@ def _basis(tokens: DataFrame, lexicon: Lexicon, store: Store) -> tuple[np.ndarra
     return basis, queries
 
 
+def _most(basis: np.ndarray, queries: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The largest part of its energy that a word can give to any query.
+
+    A query takes a passage only with ``ENERGY`` of its squared length, and a
+    passage is the sum of its words.
+    """
+    out = np.zeros(len(basis))
+    own = length > 0
+    queries = queries[own] / length[own][:, None] ** 2
+    for low in range(0, len(queries), ITEMS):
+        out = np.maximum(out, (basis @ queries[low:low + ITEMS].T).max(1))
+    return out
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, lcs_share, answer_share)`` for each document with an item.
 
@@ -308,7 +396,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         partial(_tokens, shared=spark.sparkContext.broadcast(lexicon)), "doc_id long, place array<int>, word array<int>"))
     basis, projected = _basis(tokens, lexicon, store)
     length = np.sqrt((projected**2).sum(1))
-    shared = spark.sparkContext.broadcast((basis, projected, length, np.array(lexicon.item)))
+    shared = spark.sparkContext.broadcast((basis, _most(basis, projected, length), projected, length, np.array(lexicon.item)))
     found = store.keep(tokens.mapInArrow(
         partial(_candidates, shared=shared), "doc_id long, item int, start int, cosine double"))
     per_doc = store.keep(found.select("doc_id", "item", "start").distinct().groupBy("doc_id").agg(
