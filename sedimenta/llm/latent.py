@@ -210,7 +210,7 @@ def _sketch(batches, shared):
             word, place, number = word[seldom[number]], place[seldom[number]], number[seldom[number]]
             for low, high in _runs(number):
                 _add_rows(total, scaled, word[low:high], place[low:high], number[low:high])
-    total[often] += pairs.reshape(len(often), -1).astype(np.float32) @ scaled[often]
+    total[often] += pairs.reshape(len(often), len(often)).astype(np.float32) @ scaled[often]
     total *= weight[:, None]
     chunks = [c for c in range(0, len(total), CHUNK) if total[c:c + CHUNK].any()]
     yield pa.RecordBatch.from_arrays([
@@ -379,7 +379,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     NULL and empty texts hold no item; items without words or ids are left
     out, equal ids with other texts are items of their own.  Rows without a
     ``doc_id`` are not reported; rows sharing one are reported together with
-    the largest share.  Other columns are ignored.
+    the shares of the best passage.  Other columns are ignored.
     """
     spark = docs.sparkSession
     store = Store(spark, "latent")
@@ -406,7 +406,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id long, item int, lcs_share double, answer_share double")
     ids = spark.createDataFrame([(n, i) for n, (i, _) in enumerate(queries)], "item int, item_id long")
     return checked.join(ids, "item").groupBy("doc_id", "item_id").agg(
-        F.max("lcs_share").alias("lcs_share"), F.max("answer_share").alias("answer_share"))
+        F.max(F.struct("lcs_share", "answer_share")).alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
