@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.store import Store, column, rows_in
+from sedimenta.llm.store import Store, column, free_name, rows_in
 
 REACH = 200
 
@@ -143,7 +143,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = REACH) -> DataF
     fresh = F.when(reached.isNull() | (F.col("start") > reached), 1).otherwise(0)
     found = found.withColumn("fresh", fresh).withColumn("block", F.sum("fresh").over(by))
     found = found.groupBy("doc_id", "text_hash", "block").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    own, key, cut = (_free(docs, n) for n in ("own", "key", "cuts"))
+    own, key, cut = (free_name(docs, n) for n in ("own", "key", "cuts"))
     cuts = Store(docs.sparkSession, "secrets").keep(found.groupBy(F.col("text_hash").alias(own), F.col("doc_id").alias(key)).agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cut)))
     # Texts without a secret are not shuffled.
@@ -160,11 +160,3 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = REACH) -> DataF
     if "n_chars" in docs.columns:
         some = some.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return some.select(*docs.columns).union(rest)
-
-
-def _free(docs: DataFrame, name: str) -> str:
-    """A column name that the documents do not have."""
-    taken = {c.lower() for c in docs.columns}
-    while name in taken:
-        name += "_"
-    return name

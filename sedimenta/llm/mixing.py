@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.native import words
-from sedimenta.llm.store import Store, column
+from sedimenta.llm.store import MAX_BROADCAST_IDS, Store, column, free_name
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -91,10 +91,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EP
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents the mix takes with ``size`` and ``taken`` words, and the
     whole ``epochs`` they repeat for; documents that are not taken go.  Rows
-    that share a ``doc_id`` and size get the larger share."""
-    taken = mix(docs).filter("taken > 0").groupBy(F.col("doc_id").alias("_id"), "size").agg(F.max("taken").alias("taken"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.size(words(F.col("text"))) == F.col("size"))
-    return docs.join(taken, same).drop("_id").withColumn("epochs", F.floor(F.col("taken") / F.col("size")))
+    that share a ``doc_id`` and size get the larger share.
+
+    Columns of the documents stay as they are; where one already has the name
+    of an added column, that one gets an underscore at its end.
+    """
+    size, share, epochs, key = (free_name(docs, n) for n in ("size", "taken", "epochs", "mix_id"))
+    taken = mix(docs).filter("taken > 0").groupBy(F.col("doc_id").alias(key), F.col("size").alias(size)).agg(F.max("taken").alias(share))
+    taken = Store(docs.sparkSession, "mixing").keep(taken)
+    # Three numbers a document: below the bound texts are not shuffled.
+    few = taken.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.size(words(F.col("text"))) == F.col(size))
+    mixed = docs.join(F.broadcast(taken) if few else taken, same)
+    return mixed.drop(key).withColumn(epochs, F.floor(F.col(share) / F.col(size)))
 
 
 ORACLE = r"""

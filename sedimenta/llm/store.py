@@ -13,8 +13,12 @@ from sedimenta.scale import shared_folder
 MAX_BROADCAST_IDS = 2_000_000
 
 
-# Shuffle files of a job are removed when it ends.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a step runs: shuffle files of a job are removed when it ends, and texts
+# travel to the workers in small batches, which both sides hold in memory.
+WHILE_AT_WORK = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
 
 
 class Store:
@@ -29,15 +33,17 @@ class Store:
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.path}/{self.n}"
-        before = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")
+        before = {name: self.spark.conf.get(name, None) for name in WHILE_AT_WORK}
+        for name, value in WHILE_AT_WORK.items():
+            self.spark.conf.set(name, value)
         try:
             df.write.parquet(path)
         finally:
-            if before is None:
-                self.spark.conf.unset(CLEANUP)
-            else:
-                self.spark.conf.set(CLEANUP, before)
+            for name, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(name)
+                else:
+                    self.spark.conf.set(name, value)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
@@ -46,6 +52,14 @@ def column(df: DataFrame, name: str, kind: str):
     return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def rows_in(df: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "left_semi") -> DataFrame:
     """Rows of a wide table whose key is in the narrow kept table ``ids``
     (``how="left_anti"``: is not; rows without a key stay).
