@@ -18,7 +18,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm import crf
@@ -27,8 +27,9 @@ from sedimenta.llm.store import Store, column, rows_in
 
 # Labelled documents that the model is fitted on, at most.
 SAMPLE = 3000
-# Lines of one document that training uses, at most; scoring uses all.
-TRAIN_LINES = 200
+# Lines of all of them, and of one; longer documents are only scored.
+SAMPLE_LINES = 100_000
+DOCUMENT_LINES = 10_000
 PASSES = 2
 
 _GROUPS = {
@@ -140,7 +141,6 @@ def _features(batches):
             x, size, first = line_features(w)
             rows, sizes = [], []
             for a, b in zip(first[:-1], first[1:]):
-                b = min(b, a + TRAIN_LINES)
                 rows.append(x[a:b].astype(np.float32).ravel())
                 sizes.append(size[a:b].astype(np.float32))
             yield pa.RecordBatch.from_arrays([
@@ -168,16 +168,25 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     """Model from at most ``sample`` labelled documents that are not held out.
 
-    Of rows that repeat an id one is used.  Without a labelled document of
+    Whole documents are taken in hash order as long as their lines are no more
+    than ``SAMPLE_LINES``; of rows that repeat an id the text with the smallest
+    hash is used.  Without a labelled document of
     both kinds every score is the share of label 1 (0.5 without any).
     """
     known = labels.select(column(labels, "doc_id", "long").alias("doc_id"), column(labels, "quality", "int").alias("label"))
     known = known.filter("doc_id is not null and label in (0, 1)").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text"))
-    rows = texts.join(F.broadcast(known), "doc_id").select("doc_id", "text", "label").mapInArrow(
+    texts = texts.join(F.broadcast(known), "doc_id").withColumn("hash", F.xxhash64("text"))
+    lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1, F.lit(0))
+    # At most ``sample`` rows from here on.
+    one = texts.groupBy("doc_id").agg(F.min(F.struct("hash", lines.alias("lines"))).alias("one")).select("doc_id", "one.*")
+    upto = F.sum("lines").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    one = one.filter(F.col("lines") <= DOCUMENT_LINES).withColumn("upto", upto).filter(F.col("upto") <= SAMPLE_LINES)
+    rows = texts.join(F.broadcast(one.select("doc_id", "hash")), ["doc_id", "hash"]).dropDuplicates(["doc_id"])
+    rows = rows.select("doc_id", "text", "label").mapInArrow(
         _features, "doc_id long, label int, x array<float>, size array<float>")
-    rows = rows.toPandas().drop_duplicates("doc_id").sort_values("doc_id")
+    rows = rows.toPandas().sort_values("doc_id")
     label = rows["label"].to_numpy(dtype=np.int64)
     if len(set(label)) < 2:
         return None, None, float(label.mean()) if len(label) else 0.5
