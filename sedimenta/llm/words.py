@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,11 +78,20 @@ class Words:
         if not len(self.start):
             return np.zeros(0, dtype=np.uint64)
         size = self.end - self.start
-        begin = np.concatenate(([0], np.cumsum(size)[:-1]))
-        place = np.arange(size.sum()) - np.repeat(begin, size)
-        table = _BYTE_LOWER if lower else _BYTE
-        value = table[self.data[self._word]] * powers(_BASE, int(size.max()) + 1)[place]
-        return mix(np.add.reduceat(value, begin) + size.astype(np.uint64))
+        end = np.cumsum(size)
+        begin = end - size
+        letters, table = self.data[self._word], _BYTE_LOWER if lower else _BYTE
+        out = np.empty(len(size), dtype=np.uint64)
+        at = 0
+        while at < len(size):
+            # A long text is one slice; its letters are weighed a slice at a time.
+            upto = max(at + 1, int(np.searchsorted(end, begin[at] + SLICE_BYTES, side="right")))
+            low, own = begin[at], slice(at, upto)
+            place = np.arange(end[upto - 1] - low) - np.repeat(begin[own] - low, size[own])
+            value = table[letters[low:end[upto - 1]]] * powers(_BASE, int(size[own].max()) + 1)[place]
+            out[own] = np.add.reduceat(value, begin[own] - low)
+            at = upto
+        return mix(out + size.astype(np.uint64))
 
     def text_of(self, i: int) -> bytes:
         return self.data[self.offsets[i]:self.offsets[i + 1]].tobytes()
