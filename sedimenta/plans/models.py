@@ -50,7 +50,9 @@ def fit_churn(features: DataFrame, trees: int = FOREST_TREES, depth: int = FORES
         # Statistics of more nodes per pass: fewer passes over the rows.
         maxMemoryInMB=1024,
     )
-    model = Pipeline(stages=[VectorAssembler(inputCols=CHURN_FEATURES, outputCol="features"), forest]).fit(train)
+    # A copy has no training summary.  The summary holds the session, which is sent with the model's functions
+    # and cannot be once anything in the session was observed.
+    model = Pipeline(stages=[VectorAssembler(inputCols=CHURN_FEATURES, outputCol="features"), forest]).fit(train).copy()
     scored = model.transform(split.filter("is_test")).withColumn(
         "churn_probability", vector_to_array("probability")[1]
     )

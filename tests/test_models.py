@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sedimenta.plans import churn, features as ft, models
@@ -58,6 +59,18 @@ def test_churn_forest(spark):
     assert models.churn_importance(model, spark).first()["feature"] == "recency_days"
 
 
+def test_churn_forest_after_an_observation(spark):
+    """Counts observed earlier in the session do not keep the model from being sent to the executors."""
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 5
+    df = spark.range(400).select(
+        F.col("id").alias("customer_id"), *[(F.col("id") % (k + 7)).alias(c) for k, c in enumerate(models.CHURN_FEATURES)],
+        (F.col("id") % 7 > 3).cast("int").alias("churned"))
+    _, scored = models.fit_churn(df, trees=5, depth=5)
+    assert models.churn_report(scored).first()["roc_auc"] > 0.95
+
+
 def test_churn_before_a_cutoff(spark):
     """Customers order at rates of their own: what came before tells something of what follows, not all."""
     rng, start, orders = np.random.default_rng(5), dt.date(2020, 1, 1), []
