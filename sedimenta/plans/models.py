@@ -45,10 +45,17 @@ def fit_churn(features: DataFrame, trees: int = FOREST_TREES, depth: int = FORES
     split = stratified_split(features.na.drop(subset=CHURN_FEATURES), "customer_id", TEST_SHARE)
     split = durable(split.withColumn("label", F.col("churned").cast("double")), "churn")
     train = balanced(split.filter(~F.col("is_test")), "label")
+    # Each level of the trees is a pass over all rows, so that its tasks should be of one size.  Sorted, as the
+    # draws go by partition and position.
+    tasks = 2 * split.sparkSession.sparkContext.defaultParallelism
+    train = train.repartition(tasks, "customer_id").sortWithinPartitions(*[c for c in split.columns if c != "is_test"])
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, seed=SEED,
         # Statistics of more nodes per pass: fewer passes over the rows.
         maxMemoryInMB=1024,
+        # A pass goes on from the node a row reached, not from the root; the trees are the same.  What is lost is
+        # computed again, no checkpoint is written.
+        cacheNodeIds=True, checkpointInterval=-1,
     )
     # A copy has no training summary.  The summary holds the session, which is sent with the model's functions
     # and cannot be once anything in the session was observed.
@@ -60,6 +67,7 @@ def fit_churn(features: DataFrame, trees: int = FOREST_TREES, depth: int = FORES
 
 
 def churn_report(scored: DataFrame) -> DataFrame:
+    scored = durable(scored.select("label", "prediction", "probability"), "scored")
     auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability").evaluate(scored)
     from sedimenta.plans.features import confusion
 

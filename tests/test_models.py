@@ -71,6 +71,16 @@ def test_churn_forest_after_an_observation(spark):
     assert models.churn_report(scored).first()["roc_auc"] > 0.95
 
 
+def test_churn_forest_passes(spark):
+    """Every level goes on from cached nodes, in tasks of one size; a second run over the same rows grows the same trees."""
+    df = spark.range(3000).select(
+        F.col("id").alias("customer_id"), *[(F.xxhash64("id", F.lit(c)) % 50).alias(c) for c in models.CHURN_FEATURES],
+        (F.col("id") % 7 > 3).cast("int").alias("churned"))
+    one, two = (models.fit_churn(x, trees=5, depth=5)[0].stages[-1] for x in (df.coalesce(1), df.orderBy(F.desc("id"))))
+    assert one.getOrDefault("cacheNodeIds") and one.getOrDefault("checkpointInterval") == -1
+    assert one.toDebugString.splitlines()[1:] == two.toDebugString.splitlines()[1:]
+
+
 def test_churn_before_a_cutoff(spark):
     """Customers order at rates of their own: what came before tells something of what follows, not all."""
     rng, start, orders = np.random.default_rng(5), dt.date(2020, 1, 1), []
