@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.scale import skew_join
+from sedimenta.scale import is_broadcast, skew_join, spread
 from sedimenta.sources import shapes
 
 
@@ -53,8 +53,9 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_product(fact: DataFrame, dim: DataFrame, lines: DataFrame | None = None) -> DataFrame:
-    """Hot products are looked for in ``lines``, which the fact rows come from."""
-    return skew_join(fact, dim, ["product_id"], same_keys=lines)
+    """Hot products are looked for in ``lines``, which the fact rows come from.
+    Those were joined by product before."""
+    return skew_join(fact, dim, ["product_id"], same_keys=lines, spread_rows=False)
 
 
 def sales_kpis(fact: DataFrame) -> DataFrame:
@@ -107,7 +108,11 @@ def top_products(fact: DataFrame, dim: DataFrame, n: int = 10, digits: int = 2)
 
 def revenue_by_category(fact: DataFrame, dim: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Distinct orders need the category on the line, so lines join here."""
-    joined = with_product(fact, dim.select("product_id", "category"), lines)
+    kinds = dim.select("product_id", "category")
+    joined = with_product(fact, kinds, lines)
+    if not is_broadcast(kinds):
+        # Distinct orders are shuffled by order in any case; else the rows still lie by order.
+        joined = spread(joined, ["order_id"], lines)
     return joined.groupBy("category").agg(
         F.count_distinct("order_id").alias("order_count"),
         F.sum("line_total").alias("_revenue"),

@@ -24,6 +24,8 @@ MAX_FOOTERS = 10_000
 HOT_ROWS = 5_000_000
 # A key at the limit is expected this often in the sample that finds it.
 SAMPLE_HITS = 1000
+# A task of a shuffled join gets about this many rows of the scan, also where the session has few partitions.
+TASK_ROWS = 1_000_000
 # Only the largest keys are listed: any other key has under 1/32768 of the rows.
 MAX_HOT_KEYS = 32_768
 # Rows with a NULL key match nothing; they are spread over this many salts.
@@ -135,6 +137,20 @@ def row_salt(df: DataFrame) -> Column:
     return F.xxhash64(F.spark_partition_id(), *df.columns)
 
 
+def spread(df: DataFrame, keys: list[str], scan: DataFrame | None = None) -> DataFrame:
+    """Shuffle by ``keys`` into as many tasks as the rows of the files need, where that is more than the session's
+    partitions; otherwise ``df`` as it is.  What a task holds then does not grow with the table."""
+    rows = rows_in_files(df if scan is None else scan) or 0
+    tasks = -(-rows // TASK_ROWS)
+    few = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *keys) if tasks > few else df
+
+
+def is_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer is expected to broadcast ``df`` in a join."""
+    return plan_bytes(df) <= _parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -143,6 +159,7 @@ def skew_join(
     hot_rows: int | None = None,
     small_bytes: int | None = None,
     same_keys: DataFrame | None = None,
+    spread_rows: bool = True,
 ) -> DataFrame:
     """Join a large ``left`` to a ``right`` with few rows per key.
 
@@ -154,15 +171,19 @@ def skew_join(
     ``same_keys`` is a frame with at least as many rows of every key that is
     cheaper to read, such as the scan that ``left`` was joined from: hot keys
     are looked for in it, and ``left`` is not run for that.
+
+    ``spread_rows=False`` keeps the partitions that ``left`` has from a join on
+    the same keys.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join keeps left rows, {how!r} does not")
-    threshold = _parse_bytes(left.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    if plan_bytes(right) <= threshold:
+    if is_broadcast(right):
         # The optimizer broadcasts it: the left side is not shuffled at all.
         hot = None
     else:
         hot = hot_keys(left if same_keys is None else same_keys, on, hot_rows, small_bytes)
+        if hot is None and spread_rows:
+            left = spread(left, on, same_keys)
     return salted_join(left, right, on, how, hot)
 
 

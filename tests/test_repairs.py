@@ -133,3 +133,20 @@ def test_rows_come_from_footers(spark):
     spark.range(1000).write.parquet(path)
     df = spark.read.parquet(path)
     assert scale.rows_in_files(df.join(df.select("id"), "id")) == 1000 and scale.rows_in_files(spark.range(3)) is None
+
+
+def test_tasks_of_a_join_by_rows(spark, monkeypatch):
+    """Where the session has few partitions, the rows of the files decide how many tasks a shuffled join has."""
+    query, sf = QUERIES["revenue_by_category"], "/root/testdata/sf0.01"
+    want = sorted(query(spark, sf).collect())
+    monkeypatch.setattr(scale, "TASK_ROWS", 1000)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    for threshold, shuffles in (("20k", 1), ("-1", 3)):  # products are broadcast, products are shuffled
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            got = query(spark, sf)
+            text = got._jdf.queryExecution().optimizedPlan().toString()
+            assert text.count(f", {-(-lines // 1000)}") == shuffles and text.count("RepartitionByExpression") == shuffles
+            assert sorted(got.collect()) == want
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
