@@ -37,3 +37,20 @@ def components(edges: DataFrame, store: Store) -> DataFrame:
         pairs = store.keep(small.filter("x.v <> x.m").select(F.col("x.v").alias("u"), F.col("x.m").alias("v")).distinct())
     return (pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .union(pairs.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())
+
+
+def extended(known: DataFrame, edges: DataFrame, store: Store) -> DataFrame:
+    """``known``, a kept result of ``components``, after more ``edges``, kept.
+
+    Nodes stand for their components, so only links between different ones are
+    followed; without any, ``known`` itself is the result.
+    """
+    for end in ("a", "b"):
+        at = known.select(F.col("node").alias(end), F.col("component").alias("c"))
+        edges = edges.join(at, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    across = store.keep(edges.filter("a <> b").distinct())
+    if across.isEmpty():
+        return known
+    joined = store.keep(components(across, store))
+    moved = known.join(joined.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left")
+    return store.keep(moved.select("node", F.coalesce("top", "component").alias("component")).union(joined).distinct())

@@ -54,7 +54,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm import words as wd
-from sedimenta.llm.graph import components
+from sedimenta.llm.graph import components, extended
 from sedimenta.llm.store import Store, column, rows_in
 
 # Below this similarity fragments get short and many: single shingles name the first regions.
@@ -200,13 +200,14 @@ def _sets(batches, k: int):
                 pa.array([len(s) for s in found], pa.int64())], ["id", "h1", "s", "m"])
 
 
-def _measure(pairs: DataFrame, sets: DataFrame, num: int, den: int, differences: bool = False) -> DataFrame:
+def _measure(pairs: DataFrame, sets: DataFrame, store: Store, num: int, den: int, differences: bool = False) -> DataFrame:
     """Whether ``(p, x)`` link, their exact distance and, if asked for, the first
     elements of the difference."""
     # Few pairs go to the sets of x and few small sets of p to both; otherwise these are shuffled.
     few = pairs.limit(MAX_BROADCAST_PAIRS + 1).count() <= MAX_BROADCAST_PAIRS
     both = sets.select(F.col("id").alias("x"), F.col("s").alias("sx")).join(F.broadcast(pairs) if few else pairs, "x")
-    other = rows_in(sets.select(F.col("id").alias("p"), F.col("s").alias("sp"), "m"), pairs, "p")
+    heads = store.keep(pairs.select("p").distinct())
+    other = rows_in(sets.select(F.col("id").alias("p"), F.col("s").alias("sp"), "m"), heads, "p", unique=True)
     small = (other.agg(F.sum("m")).first()[0] or 0) <= MAX_BROADCAST_ELEMENTS
     both = both.join(F.broadcast(other.drop("m")) if small else other.drop("m"), "p")
     total = F.size("sx") + F.size("sp")
@@ -250,9 +251,10 @@ def _may(v, w, n, m, num: int, den: int):
 
 def _candidates(pairs: DataFrame, counts: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs ``(p, x)`` that the counts do not rule out."""
-    for name, test in (("b", _odd), ("v", _may)):
-        one = counts.select(F.col("x").alias("p"), F.col(name).alias("one"), F.col("m").alias("o"))
-        both = pairs.join(one, "p").join(counts.select("x", F.col(name).alias("two"), "m"), "x")
+    # The second test begins where the first ends: pairs that lie by x are not dealt anew for it.
+    for name, test, first, then in (("b", _odd, "p", "x"), ("v", _may, "x", "p")):
+        one = counts.select(F.col("x").alias(first), F.col(name).alias("one"), F.col("m").alias("o"))
+        both = pairs.join(one, first).join(counts.select(F.col("x").alias(then), F.col(name).alias("two"), "m"), then)
         pairs = both.filter(_near(F.col("o"), F.col("m"), num, den)).filter(
             test(F.col("one"), F.col("two"), F.col("o"), F.col("m"), num, den)).select("p", "x")
     return pairs
@@ -285,7 +287,9 @@ def near_components(
     copies = own.groupBy("f").agg(F.min("doc_id").alias("rep"))
     classes = store.keep(own.join(copies, "f").select("doc_id", "rep", "f.n", "f.h1", "f.h2"))
     reps = classes.filter("doc_id = rep").select("doc_id", "n", "h1", "h2")
-    signed, late = [points.join(reps, ["doc_id", "n", "h1", "h2"], "left_semi").select("doc_id", "n", "sigs")], np.zeros(0, np.int64)
+    # Kept: each round and the regions read it several times.
+    signed = [store.keep(points.join(reps, ["doc_id", "n", "h1", "h2"], "left_semi").select("doc_id", "n", "sigs"))]
+    late = np.zeros(0, np.int64)
 
     def keyed_rows() -> DataFrame:
         return reduce(DataFrame.union, signed).select(F.explode("sigs").alias("key"), F.col("doc_id").alias("x"), "n")
@@ -304,10 +308,10 @@ def near_components(
         often = often.filter(F.col("level") >= min(fitting)).select("key")
         late = np.concatenate((late, often.toArrow().column("key").to_numpy()))
         moved = store.keep(keyed_rows().join(F.broadcast(often), "key").select(F.col("x").alias("doc_id")).distinct())
-        again = rows_in(texts, moved).mapInArrow(
+        again = rows_in(texts, moved, unique=True).mapInArrow(
             partial(_later, k=k, num=num, den=den, late=np.sort(wd.unsigned(late))), "doc_id long, n long, h1 long, sigs array<long>")
         again = store.keep(again.join(reps, ["doc_id", "n", "h1"], "left_semi").select("doc_id", "n", "sigs"))
-        signed = [*(rows_in(part, moved, how="left_anti") for part in signed), again]
+        signed = [*(rows_in(part, moved, how="left_anti", unique=True) for part in signed), again]
     rows = keyed_rows()
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     regions = store.keep(rows.join(shared, "key").select("key", "x", "n", "size"))
@@ -317,8 +321,8 @@ def near_components(
         F.col("doc_id").alias("x"), F.col("n").alias("m"), "b", "v"))
 
     def sets_of(*ids) -> DataFrame:
-        wanted = reduce(DataFrame.union, [d.select(F.col(c).alias("doc_id")) for d, c in ids]).distinct()
-        found = store.keep(rows_in(texts, wanted).mapInArrow(partial(_sets, k=k), "id long, h1 long, s array<long>, m long"))
+        wanted = store.keep(reduce(DataFrame.union, [d.select(F.col(c).alias("doc_id")) for d, c in ids]).distinct())
+        found = store.keep(rows_in(texts, wanted, unique=True).mapInArrow(partial(_sets, k=k), "id long, h1 long, s array<long>, m long"))
         if found.groupBy("id").count().filter("count > 1").isEmpty():
             return found
         return found.join(reps.select(F.col("doc_id").alias("id"), "h1"), ["id", "h1"], "left_semi").dropDuplicates(["id"])
@@ -333,11 +337,10 @@ def near_components(
     pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).union(
         wide.join(pivots, "key").filter("x <> p").select("p", "x")).distinct()
     pairs = store.keep(_candidates(pairs, counts, num, den))
-    done = store.keep(_measure(pairs, sets_of((pairs, "p"), (pairs, "x")), num, den))
-    links, done = _links(done), done.select("p", "x")
+    done = store.keep(_measure(pairs, sets_of((pairs, "p"), (pairs, "x")), store, num, den))
+    comp, done = store.keep(components(_links(done), store)), done.select("p", "x")
 
     # Regions whose members are not all in one component go on: up to ``leaf`` points pairwise, others as cells.
-    comp = store.keep(components(links, store))
     placed = wide.join(comp.withColumnRenamed("node", "x"), "x", "left").withColumn("c", F.coalesce("component", "x"))
     split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
     placed = store.keep(placed.join(split, "key").select("key", "x", "n", "size", "c"))
@@ -348,16 +351,15 @@ def near_components(
         & _odd(F.col("l.b"), F.col("r.b"), F.col("l.n"), F.col("r.n"), num, den))
     pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct().join(done, ["p", "x"], "left_anti")
     pairs = store.keep(_candidates(pairs, counts, num, den))
-    leaves = store.keep(_measure(pairs, sets_of((pairs, "p"), (pairs, "x")), num, den))
-    links, done = links.union(_links(leaves)), done.union(leaves.select("p", "x"))
+    leaves = store.keep(_measure(pairs, sets_of((pairs, "p"), (pairs, "x")), store, num, den))
+    links, done = _links(leaves), done.union(leaves.select("p", "x"))
     cells = store.keep(placed.filter(F.col("size") > leaf).join(pivots, "key").select("p", "x", "n").distinct())
     sets = sets_of((cells, "p"), (cells, "x"))
     for level in range(levels + 1):
         if cells.isEmpty():
             break
-        stars = store.keep(_measure(cells.filter("x <> p").select("p", "x"), sets, num, den, differences=True))
-        links, done = links.union(_links(stars)), done.union(stars.select("p", "x"))
-        comp = store.keep(components(links, store))
+        stars = store.keep(_measure(cells.filter("x <> p").select("p", "x"), sets, store, num, den, differences=True))
+        comp, done = extended(comp, links.union(_links(stars)), store), done.union(stars.select("p", "x"))
         # Cells with more than one component among their members go on.
         members = stars.join(cells, ["p", "x"]).join(comp.withColumnRenamed("node", "x"), "x", "left").select(
             "p", "x", "n", "far", "e", F.coalesce("component", "x").alias("c"))
@@ -387,12 +389,12 @@ def near_components(
             & (F.abs(F.col("l.far") - F.col("r.far")) <= F.lit((den - num) / den + 1e-9)))
         pairs = pairs.select(F.col("l.x").alias("p"), F.col("r.x").alias("x")).distinct().join(done, ["p", "x"], "left_anti")
         pairs = store.keep(_candidates(pairs, counts, num, den))
-        leaves = store.keep(_measure(pairs, sets, num, den))
-        links, done = links.union(_links(leaves)), done.union(leaves.select("p", "x"))
+        leaves = store.keep(_measure(pairs, sets, store, num, den))
+        links, done = _links(leaves), done.union(leaves.select("p", "x"))
         if level == levels:
             break
         cells = store.keep(inside.filter(F.col("size") > leaf).select(F.col("q").alias("p"), "x", "n").distinct())
-    comp = store.keep(components(links, store))
+    comp = extended(comp, links, store)
     labels = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", F.coalesce("component", "rep").alias("component_id"))
     return base.select("doc_id", "n").join(labels, "doc_id", "left").select(

@@ -60,13 +60,14 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def rows_in(df: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "left_semi") -> DataFrame:
+def rows_in(df: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "left_semi", unique: bool = False) -> DataFrame:
     """Rows of a wide table whose key is in the narrow kept table ``ids``
     (``how="left_anti"``: is not; rows without a key stay).
 
     The ids are counted first; few are broadcast, so that texts are not
-    shuffled, many are joined by a shuffle.
+    shuffled, many are joined by a shuffle.  ``unique`` says that ``ids`` holds
+    none twice, which saves a shuffle here and in each use of the result.
     """
-    ids = ids.select(key).distinct()
+    ids = ids.select(key) if unique else ids.select(key).distinct()
     few = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
     return df.join(F.broadcast(ids) if few else ids, key, how)

@@ -1,11 +1,13 @@
-"""Secrets that overlap, clashing names, stray quotes in tags."""
+"""Secrets that overlap, clashing names, stray quotes in tags, tasks of the near copies."""
 
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sedimenta.llm import credentials, htmltext
+from sedimenta.llm import credentials, graph, htmltext, jaccard
+from sedimenta.llm.store import Store
 
 SCHEMA = "doc_id long, text string"
 
@@ -48,3 +50,41 @@ def test_many_broken_tags_take_no_longer():
     htmltext.blocks("<a " + "x=\"1\" y='" * 20_000)
     htmltext.blocks("<a x='" * 3000)
     assert time.time() - began < 20
+
+
+def test_components_grow_by_new_edges(spark):
+    """Edges found later join components as if all had been there at once; edges inside one change nothing."""
+    rng = np.random.default_rng(11)
+    first, later = ([(int(a), int(b)) for a, b in rng.integers(0, 400, (150, 2))] for _ in range(2))
+    store = Store(spark, "test")
+    old, new = (spark.createDataFrame(x, "a long, b long") for x in (first, later))
+    known = store.keep(graph.components(old, store))
+    assert graph.extended(known, old, store) is known
+    found = [tuple(r) for r in graph.extended(known, new, store).collect()]
+    whole = [tuple(r) for r in graph.components(old.union(new), store).collect()]
+    assert sorted(found) == sorted(whole)
+
+
+def test_near_copies_take_few_tasks(spark):
+    """Each task is an entry in the scheduler and the event log: known components and lists of ids are not dealt out anew."""
+    rng = np.random.default_rng(12)
+    texts = []
+    for i in range(40):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 60)]
+        texts += [" ".join([*base, f"end{j}"]) for j in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, sc = {k: spark.conf.get(k) for k in held}, spark.sparkContext
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    sc.setJobGroup("few-tasks", "near copies")
+    try:
+        kept = jaccard.keep_one(docs).count()
+        stages = {s for j in sc.statusTracker().getJobIdsForGroup("few-tasks") for s in sc.statusTracker().getJobInfo(j).stageIds}
+        tasks = sum(i.numCompletedTasks for i in map(sc.statusTracker().getStageInfo, stages) if i)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert kept == 40 and tasks < 1600
