@@ -346,15 +346,24 @@ def _basis(tokens: DataFrame, lexicon: Lexicon, store: Store) -> tuple[np.ndarra
     for row in parts.collect():
         block = np.frombuffer(bytes(row.z), dtype=np.float32).reshape(-1, omega.shape[1])
         z[row.chunk * CHUNK:row.chunk * CHUNK + len(block)] = block
-    # G ~ Z (omega' Z)^-1 Z'; with a shift for stability.
-    shift = 1e-6 * np.sqrt((z**2).sum()) + 1e-12
-    z = z + shift * omega
+    # G ~ Z (omega' Z)^-1 Z'; with a shift for stability.  Chunk by chunk: no second array of this size at a time.
+    shift = 1e-6 * np.linalg.norm(z) + 1e-12
+    for low in range(0, n, CHUNK):
+        z[low:low + CHUNK] += shift * omega[low:low + CHUNK]
     core = omega.T @ z
+    del omega
     value, side = np.linalg.eigh((core + core.T) / 2)
     good = value > value.max() * 1e-6
-    half = z @ (side[:, good] / np.sqrt(value[good]))
-    vectors, _, _ = np.linalg.svd(half, full_matrices=False)
-    basis = (vectors[:, :rank] * weight[:, None]).astype(np.float32)
+    turn = side[:, good] / np.sqrt(value[good])
+    # Singular vectors of Z turn.  Its singular values span three decades at most, so their squares are exact enough.
+    gram = turn.T @ (z.T @ z) @ turn
+    value, side = np.linalg.eigh((gram + gram.T) / 2)
+    value, side = value[::-1][:rank], side[:, ::-1][:, :rank]
+    good = value > value[0] * 1e-12
+    turn = turn @ (side[:, good] / np.sqrt(value[good]))
+    basis = np.empty((n, turn.shape[1]), np.float32)
+    for low in range(0, n, CHUNK):
+        basis[low:low + CHUNK] = (z[low:low + CHUNK] @ turn) * weight[low:low + CHUNK, None]
     queries = np.stack([basis[q].sum(0) for q in lexicon.queries])
     return basis, queries
 
